@@ -29,9 +29,23 @@ def safe_ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
+def seconds_between(start: Column, end: Column) -> Column:
+    """Exact seconds from ``start`` to ``end`` (zone-free timestamps).
+
+    Interval subtraction never touches the session time zone, and 18 digits
+    stay in a long.
+    """
+    return (end - start).cast("decimal(18,6)")
+
+
 def minutes_between(start: Column, end: Column) -> Column:
-    """Minutes from ``start`` to ``end``, independent of the session time zone."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1_000_000.0) / F.lit(60.0)
+    return seconds_between(start, end).cast("double") / F.lit(60.0)
+
+
+def time_bucket(ts: Column, seconds: int) -> Column:
+    """Number of the ``seconds``-wide bucket since 1970 that holds ``ts``."""
+    epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    return F.floor(seconds_between(epoch, ts).cast("double") / F.lit(float(seconds)))
 
 
 def tally(condition: Column) -> Column:

@@ -14,16 +14,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.functions.columns import time_bucket
+
 SEGMENT_SECONDS = 900
 SEGMENT = "_segment"
 _NO_TIME = 2**62  # rows without a timestamp sort last, in a segment of their own
 
 
 def segment_of(ts: str, seconds: int) -> Column:
-    since_epoch = F.timestamp_diff(
-        "SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col(ts)
-    )
-    return F.coalesce(F.floor(since_epoch / F.lit(seconds)), F.lit(_NO_TIME)).cast("long")
+    return F.coalesce(time_bucket(F.col(ts), seconds), F.lit(_NO_TIME)).cast("long")
 
 
 def _chain(key: str):

@@ -102,7 +102,6 @@ def _before_purchase(events: DataFrame, seconds: int) -> DataFrame:
         cut.where(F.col("event_name").isNull() | ~bought)
         .join(slots, ["session_id", SEGMENT])
         .where(bought_at.isNull() | (at < bought_at))
-        .drop(SEGMENT)
     )
 
 
@@ -128,11 +127,22 @@ _GROUP_KEYS = (
 )
 
 
+def _merged() -> list[Column]:
+    return [
+        F.sum("n").alias("n"),
+        F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
+        F.max("purchase_timestamp").alias("purchase_timestamp"),
+    ]
+
+
 def _folded(events: DataFrame, seconds: int) -> DataFrame:
     """Events before the purchase as counts per session, user, context and name.
 
-    Grouping keys and fixed-width buffers only, so this is a hash aggregate
-    with map-side combine; everything after it works on the folded rows.
+    Grouping keys and fixed-width buffers only, so these are hash aggregates.
+    The first fold stays on the (session, segment) partitioning of the rows;
+    only its result moves, once, to (session, user), which also serves the
+    join with the cutoff.
 
     A session_end (or unnamed event) counts only up to the cutoff. Those not
     later than the known cutoff fold like the others; where no purchase
@@ -151,13 +161,16 @@ def _folded(events: DataFrame, seconds: int) -> DataFrame:
         .where(~_is_extra() | early | ~open_end)
         .withColumn("user_id", user)
         .withColumn("contested_at", F.when(_is_extra() & ~early, at))
-        .groupBy(*_GROUP_KEYS)
+        .groupBy(SEGMENT, *_GROUP_KEYS)
         .agg(
             F.count("*").alias("n"),
             F.min(at).alias("first_ts"),
             F.max(at).alias("last_ts"),
             F.max("purchase_timestamp").alias("purchase_timestamp"),
         )
+        .repartition("session_id", "user_id")
+        .groupBy(*_GROUP_KEYS)
+        .agg(*_merged())
     )
 
 
@@ -206,12 +219,7 @@ def churn_features(events: DataFrame, seconds: int = SEGMENT_SECONDS) -> DataFra
         .join(cutoff, ["session_id", "user_id"])
         .where(contested.isNull() | (contested <= F.col("observation_timestamp")))
         .groupBy(*keys, "event_name")
-        .agg(
-            F.sum("n").alias("n"),
-            F.min("first_ts").alias("first_ts"),
-            F.max("last_ts").alias("last_ts"),
-            F.max("purchase_timestamp").alias("purchase_timestamp"),
-        )
+        .agg(*_merged())
     )
 
     def times(name: str) -> Column:
@@ -303,32 +311,37 @@ def feature_correlations(
     generated code (one ``corr`` per pair would not). A constant feature has
     no correlation: NULL.
     """
-    x = {name: F.col(name).cast("double") for name in columns}
+    place = {name: i for i, name in enumerate(columns)}
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    product = {pair: f"xy{i}" for i, pair in enumerate(pairs)}
-    total = {name: f"x{i}" for i, name in enumerate(columns)}
-    varies = {name: f"v{i}" for i, name in enumerate(columns)}
-    sums = features.dropna(subset=list(columns)).agg(
-        F.count("*").cast("double").alias("n"),
-        *[F.sum(x[name]).alias(total[name]) for name in columns],
-        *[(F.min(x[name]) < F.max(x[name])).alias(varies[name]) for name in columns],
-        *[F.sum(x[a] * x[b]).alias(product[a, b]) for a, b in pairs],
+    rows = features.select(*[F.col(c).cast("double").alias(f"x{i}") for c, i in place.items()])
+    sums = rows.dropna().selectExpr(
+        "CAST(count(*) AS DOUBLE) AS n",
+        *[f"sum(x{i}) AS s{i}" for i in place.values()],
+        *[f"min(x{i}) < max(x{i}) AS varies{i}" for i in place.values()],
+        *[f"sum(x{place[a]} * x{place[b]}) AS s{place[a]}_{place[b]}" for a, b in pairs],
     )
 
-    def moment(a: str, b: str) -> Column:
-        """n * covariance sum of a and b."""
-        xy = F.col(product[(a, b) if (a, b) in product else (b, a)])
-        return F.col("n") * xy - F.col(total[a]) * F.col(total[b])
-
-    def entry(a: str, b: str) -> Column:
-        r = moment(a, b) / (F.sqrt(moment(a, a)) * F.sqrt(moment(b, b)))
-        return F.struct(
-            F.lit(a).alias("feature_a"),
-            F.lit(b).alias("feature_b"),
-            F.when(F.col(varies[a]) & F.col(varies[b]), r).alias("correlation"),
+    def pair(a: str, b: str) -> str:
+        i, j = place[a], place[b]
+        return (
+            f"struct('{a}' AS a, '{b}' AS b, varies{i} AND varies{j} AS both_vary, s{i} AS sa, "
+            f"s{j} AS sb, s{i}_{i} AS saa, s{j}_{j} AS sbb, s{i}_{j} AS sab)"
         )
 
-    return sums.select(F.inline(F.array(*[entry(a, b) for a in columns for b in columns])))
+    def moment(xy: str, sx: str, sy: str) -> Column:
+        """n times the centered sum of products."""
+        return F.col("n") * F.col(xy) - F.col(sx) * F.col(sy)
+
+    spread = F.sqrt(moment("saa", "sa", "sa")) * F.sqrt(moment("sbb", "sb", "sb"))
+    r = F.when(F.col("both_vary"), F.try_divide(moment("sab", "sa", "sb"), spread))
+    directions = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    return (
+        sums.selectExpr("n", f"inline(array({', '.join(pair(a, b) for a, b in pairs)}))")
+        .select(r.alias("correlation"), F.explode(F.array_distinct(directions)).alias("d"))
+        .select(
+            F.col("d.a").alias("feature_a"), F.col("d.b").alias("feature_b"), "correlation"
+        )
+    )
 
 
 def high_correlations(

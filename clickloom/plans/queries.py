@@ -296,16 +296,12 @@ _over(
 
 @_query("purchase_consistency")
 def _purchase_consistency(spark, sf):
-    events = _events(spark, sf)
-    return funnel.purchase_consistency(events, funnel.session_funnel(events))
+    return funnel.purchase_consistency(_events(spark, sf), _funnel(spark, sf))
 
 
 @_query("outcome_velocity")
 def _outcome_velocity(spark, sf):
-    events = _events(spark, sf)
-    return velocity.outcome_velocity(
-        funnel.session_funnel(events), velocity.velocity_metrics(events)
-    )
+    return velocity.outcome_velocity(_funnel(spark, sf), _velocity(spark, sf))
 
 
 # ----------------------------------------------------------------- experiments

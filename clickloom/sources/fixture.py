@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom import schema as S
+from clickloom.functions.columns import seconds_between, time_bucket
 from clickloom.operators.experiments import assigned_variant
 
 SESSION_GAP_SECONDS = 43_200
@@ -50,28 +51,23 @@ def sessions_by_gap(
     if slot_seconds > gap_seconds:
         raise ValueError("a slot must not be longer than the session gap")
     by_user = Window.partitionBy("user_id").orderBy("slot")
-    silence = F.timestamp_diff("MICROSECOND", F.lag("last_ts").over(by_user), F.col("first_ts"))
+    silence = seconds_between(F.lag("last_ts").over(by_user), F.col("first_ts"))
     return (
         # stated here so that every use of the sessions plans the same shuffle
         # (a join on the keys would add the filter to its own copy only)
-        raw.withColumn("slot", _slot(slot_seconds))
+        raw.withColumn("slot", time_bucket(F.col("ts"), slot_seconds))
         .where(F.col("user_id").isNotNull() & F.col("slot").isNotNull())
         .groupBy("user_id", "slot")
         .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
         .withColumn(
             "opens",
-            F.when(silence.isNull() | (silence > gap_seconds * 1_000_000), 1).otherwise(0),
+            F.when(silence.isNull() | (silence > gap_seconds), 1).otherwise(0),
         )
         .withColumn("session_no", F.sum("opens").over(by_user))
         .select("user_id", "slot", "first_ts", "last_ts", "session_no")
     )
 
 
-def _slot(slot_seconds: int) -> Column:
-    epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    return F.floor(F.timestamp_diff("SECOND", epoch, F.col("ts")) / F.lit(slot_seconds))
-
-
 def _pick(values: tuple[str, ...], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
@@ -99,7 +95,7 @@ def canonical_events(raw: DataFrame) -> DataFrame:
     session_id = F.concat_ws("-", F.col("user_id").cast("string"), F.col("session_no").cast("string"))
 
     body = (
-        raw.withColumn("slot", _slot(SLOT_SECONDS))
+        raw.withColumn("slot", time_bucket(F.col("ts"), SLOT_SECONDS))
         .join(sessions.select("user_id", "slot", "session_no"), ["user_id", "slot"])
         .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
         .select(
