@@ -67,17 +67,20 @@ def session_funnel(events: DataFrame) -> DataFrame:
         ).alias(at)
         for step, (at, _) in _STEP_COLUMNS.items()
     ]
+    return with_reached_flags(per_owner.select("session_id", "user_id", *times))
+
+
+def with_reached_flags(steps: DataFrame) -> DataFrame:
+    """Add the reached flags and the outcome: the furthest step by priority,
+    whatever order the steps happened in."""
     outcome = (
         F.when(F.col("reached_purchase"), "purchased")
         .when(F.col("reached_cart"), "cart_abandoned")
         .when(F.col("reached_product_click"), "product_abandoned")
         .otherwise("homepage_abandoned")
     )
-    return (
-        per_owner.select("session_id", "user_id", *times)
-        .select("*", *[F.col(at).isNotNull().alias(hit) for at, hit in _STEP_COLUMNS.values()])
-        .withColumn("funnel_outcome", outcome)
-    )
+    flags = [F.col(at).isNotNull().alias(hit) for at, hit in _STEP_COLUMNS.values()]
+    return steps.select("*", *flags).withColumn("funnel_outcome", outcome)
 
 
 def _unpivot(totals: DataFrame, steps: dict[str, str], *names: str) -> DataFrame:

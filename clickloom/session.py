@@ -15,6 +15,8 @@ _DEFAULTS = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+_LOCAL_FOLDERS: dict[str, str] = {}  # of local sessions without a shared folder
+
 
 def build_session(app_name: str = "clickloom", master: str | None = None, **conf) -> SparkSession:
     """A session with AQE on; the cluster's own settings win where it has them."""
@@ -37,9 +39,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="clickloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="clickloom-")
+    return _LOCAL_FOLDERS[application]
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:

@@ -15,14 +15,13 @@ def _properties(dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return F.from_json(source, S.EVENT_PROPERTIES)
     present = {f.name for f in dtype.fields} if isinstance(dtype, T.StructType) else set()
-    return F.struct(
-        *[
-            (source.getField(f.name) if f.name in present else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in S.EVENT_PROPERTIES.fields
-        ]
-    )
+    fields = [
+        (source.getField(f.name) if f.name in present else F.lit(None))
+        .cast(f.dataType)
+        .alias(f.name)
+        for f in S.EVENT_PROPERTIES.fields
+    ]
+    return F.when(source.isNotNull(), F.struct(*fields))
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -36,10 +35,10 @@ def conform(df: DataFrame) -> DataFrame:
     for field in S.EVENT_SCHEMA.fields:
         if field.name not in have:
             column = F.lit(None).cast(field.dataType)
-        elif field.name == "event_properties":
-            column = _properties(have[field.name])
         elif have[field.name] == field.dataType:
             column = F.col(field.name)
+        elif field.name == "event_properties":
+            column = _properties(have[field.name])
         else:
             column = F.col(field.name).try_cast(field.dataType)
         columns.append(column.alias(field.name))
