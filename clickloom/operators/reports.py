@@ -116,12 +116,13 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def _histogram(df: DataFrame, column: str, low: Column, width: Column, bins: int) -> DataFrame:
     value = F.col(column).cast("double")
-    index = F.least(F.lit(bins - 1), F.floor(F.try_divide(value - low, width)))
+    step = F.coalesce(F.floor(F.try_divide(value - low, width)), F.lit(0))  # width 0: one bin
+    index = F.least(F.lit(bins - 1), step)
     return (
         df.where(value.isNotNull())
         .withColumn("_low", low)
         .withColumn("_width", width)
-        .groupBy(F.coalesce(index, F.lit(0)).cast("int").alias("bin"), "_low", "_width")
+        .groupBy(index.cast("int").alias("bin"), "_low", "_width")
         .agg(F.count("*").alias("sessions"))
         .select(
             "bin",
