@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom import schema as S
-from clickloom.functions.columns import any_null, is_event
+from clickloom.functions.columns import any_null, is_event, seconds_between
 from clickloom.operators.funnel import with_reached_flags
 from clickloom.operators.quality import quality_report
 
@@ -23,15 +23,26 @@ def landing_stream(spark: SparkSession, landing_glob: str) -> DataFrame:
     return spark.readStream.schema(S.EVENT_SCHEMA).parquet(landing_glob)
 
 
+_CLOCK = "_event_time"
+
+
+def _clocked(stream: DataFrame, lateness: str) -> DataFrame:
+    """Watermark on the event time read as UTC: Spark takes zoned timestamps
+    only, and a cast would move with the session time zone."""
+    epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    micros = seconds_between(epoch, F.col("event_timestamp")) * 1_000_000
+    return stream.withColumn(_CLOCK, F.timestamp_micros(micros.cast("long"))).withWatermark(
+        _CLOCK, lateness
+    )
+
+
 def deduplicated(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
     """One row per event_id among events at most ``lateness`` apart.
 
     State holds ids within the watermark only, so it does not grow with the
     stream.
     """
-    return stream.withWatermark("event_timestamp", lateness).dropDuplicatesWithinWatermark(
-        ["event_id"]
-    )
+    return _clocked(stream, lateness).dropDuplicatesWithinWatermark(["event_id"]).drop(_CLOCK)
 
 
 def append_events(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -96,9 +107,9 @@ def rolling_funnel(
     watermark. Append mode; a session appears once, when it is closed."""
     at = F.col("event_timestamp")
     return with_reached_flags(
-        stream.withWatermark("event_timestamp", lateness)
+        _clocked(stream, lateness)
         .where(F.col("event_name").isin(*S.FUNNEL_STEPS))
-        .groupBy(F.session_window("event_timestamp", gap), "session_id", "user_id")
+        .groupBy(F.session_window(_CLOCK, gap), "session_id", "user_id")
         .agg(
             *[
                 F.min(F.when(is_event(step), at)).alias(f"{step}_at")
