@@ -1,10 +1,14 @@
 """Ordered and keyed work that survives a hot key.
 
 A window partitioned by session puts a whole session into one task; one bot
-session may hold a third of all events. The helpers below cut each key into
-time segments, do the row-level work per (key, segment), and carry what must
-cross a border through a summary with one row per (key, segment). The summary
-of one key grows with the time the key spans, not with its number of rows.
+session may hold a third of all events. A key that holds more than one
+thousandth of the rows is therefore cut into time segments: row-level work
+runs per (key, segment), and what must cross a segment border travels through
+a summary with one row per hot key and segment. All other keys are a single
+segment and need one shuffle and no summary.
+
+Which keys count as hot only decides how work is spread. Results are the same
+for any list of hot keys.
 """
 
 from __future__ import annotations
@@ -16,15 +20,41 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.columns import time_bucket
 
-SEGMENT_SECONDS = 900
+SEGMENT_SECONDS = 60
 SEGMENT = "_segment"
+HOT_SHARE = 1_000
+_WHOLE_KEY = -(2**62)  # the only segment of a key that is not hot
 _NO_TIME = 2**62  # rows without a timestamp sort last, in a segment of their own
 
 
-def segment_of(ts: str, seconds: int) -> Column:
+def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> list:
+    """Keys with more than 1/``share`` of the rows: fewer than ``share`` values.
+
+    One pass over the key column with a frequent-items sketch (partial
+    aggregation, nothing shuffled by key); the result is bounded by ``share``.
+    """
+    row = df.agg(
+        F.expr(f"approx_top_k({key}, {share}, {10 * share})").alias("top"),
+        F.count("*").alias("n"),
+    ).first()
+    return [entry["item"] for entry in row["top"] or [] if entry["count"] * share > row["n"]]
+
+
+def is_hot(key: str, hot: Sequence) -> Column:
+    return F.coalesce(F.col(key).isin(list(hot)), F.lit(False)) if hot else F.lit(False)
+
+
+def segment_number(ts: str, seconds: int) -> Column:
     return F.coalesce(time_bucket(F.col(ts), seconds), F.lit(_NO_TIME)).cast("long")
 
 
+def segment_of(key: str, ts: str, hot: Sequence, seconds: int) -> Column:
+    whole = F.lit(_WHOLE_KEY).cast("long")
+    if not hot:
+        return whole
+    return F.when(is_hot(key, hot), segment_number(ts, seconds)).otherwise(whole)
+
+
 def _chain(key: str):
     return Window.partitionBy(key).orderBy(SEGMENT)
 
@@ -41,24 +71,31 @@ def with_neighbours(
     ts: str,
     tie: str,
     carry: Sequence[str],
+    hot: Sequence | None = None,
     seconds: int = SEGMENT_SECONDS,
 ) -> DataFrame:
     """Add structs ``previous`` and ``following`` holding ``carry`` of the
     neighbouring rows of the same key, ordered by (ts, tie).
 
-    Rows are shuffled once by (key, segment). The first and last row of each
-    segment get their neighbour from the summary, which joins back on the same
-    hash keys, so the row side is not shuffled again.
+    Rows are shuffled and sorted once, by (key, segment). The first and last
+    row of a hot key's segment get their neighbour from the summary, which
+    joins back on the same hash keys.
     """
-    cut = df.withColumn(SEGMENT, segment_of(ts, seconds))
+    hot = hot_keys(df, key) if hot is None else hot
     here = F.struct(*carry)
-    position = F.struct(ts, tie)
+    cut = df.withColumn(SEGMENT, segment_of(key, ts, hot, seconds))
     local = _in_segment(key, ts, tie)
-    rows = cut.withColumn("_lag", F.lag(here).over(local)).withColumn(
-        "_lead", F.lead(here).over(local)
+    rows = cut.withColumn("_here", here).select(
+        *cut.columns,
+        F.lag("_here").over(local).alias("previous"),
+        F.lead("_here").over(local).alias("following"),
     )
+    if not hot:
+        return rows.drop(SEGMENT)
+    position = F.struct(ts, tie)
     links = (
-        cut.groupBy(key, SEGMENT)
+        cut.where(is_hot(key, hot))
+        .groupBy(key, SEGMENT)
         .agg(
             F.min_by(here, position).alias("_first"),
             F.max_by(here, position).alias("_last"),
@@ -70,11 +107,10 @@ def with_neighbours(
             F.lead("_first").over(_chain(key)).alias("_after"),
         )
     )
-    return (
-        rows.join(links, [key, SEGMENT], "left")
-        .withColumn("previous", F.coalesce("_lag", "_before"))
-        .withColumn("following", F.coalesce("_lead", "_after"))
-        .drop("_lag", "_lead", "_before", "_after", SEGMENT)
+    return rows.join(links, [key, SEGMENT], "left").select(
+        *df.columns,
+        F.coalesce("previous", "_before").alias("previous"),
+        F.coalesce("following", "_after").alias("following"),
     )
 
 
@@ -85,21 +121,30 @@ def with_positions(
     tie: str,
     position: str,
     total: str,
+    hot: Sequence | None = None,
     seconds: int = SEGMENT_SECONDS,
 ) -> DataFrame:
     """Add the 1-based position of the row in its key and the key's row count."""
-    cut = df.withColumn(SEGMENT, segment_of(ts, seconds))
-    rows = cut.withColumn("_local", F.row_number().over(_in_segment(key, ts, tie)))
-    sums = cut.groupBy(key, SEGMENT).agg(F.count("*").alias("_n"))
+    hot = hot_keys(df, key) if hot is None else hot
+    cut = df.withColumn(SEGMENT, segment_of(key, ts, hot, seconds))
+    local_count = F.count("*").over(Window.partitionBy(key, SEGMENT))
+    rows = cut.select(
+        *cut.columns,
+        F.row_number().over(_in_segment(key, ts, tie)).cast("long").alias(position),
+        local_count.alias(total),
+    )
+    if not hot:
+        return rows.drop(SEGMENT)
+    sums = cut.where(is_hot(key, hot)).groupBy(key, SEGMENT).agg(F.count("*").alias("_n"))
     earlier = _chain(key).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
         key,
         SEGMENT,
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(Window.partitionBy(key)).alias(total),
+        F.sum("_n").over(earlier).alias("_offset"),
+        F.sum("_n").over(Window.partitionBy(key)).alias("_total"),
     )
-    return (
-        rows.join(offsets, [key, SEGMENT])
-        .withColumn(position, (F.col("_offset") + F.col("_local")).cast("long"))
-        .drop("_local", "_offset", SEGMENT)
+    return rows.join(offsets, [key, SEGMENT], "left").select(
+        *df.columns,
+        (F.col(position) + F.coalesce("_offset", F.lit(0))).alias(position),
+        F.coalesce("_total", total).alias(total),
     )

@@ -6,6 +6,8 @@ after the purchase may enter a feature.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,11 +24,16 @@ from clickloom.functions.columns import (
 from clickloom.functions.segments import (
     SEGMENT,
     SEGMENT_SECONDS,
+    hot_keys,
+    is_hot,
+    segment_number,
     segment_of,
     with_positions,
 )
 
-def ordered_events(events: DataFrame, seconds: int = SEGMENT_SECONDS) -> DataFrame:
+def ordered_events(
+    events: DataFrame, hot: Sequence[str] | None = None, seconds: int = SEGMENT_SECONDS
+) -> DataFrame:
     """Events with their position in the session and the session's length."""
     rows = events.select(
         "event_id",
@@ -50,6 +57,7 @@ def ordered_events(events: DataFrame, seconds: int = SEGMENT_SECONDS) -> DataFra
         "event_id",
         "event_sequence",
         "total_session_events",
+        hot,
         seconds,
     ).select(*rows.columns, "event_sequence", "total_session_events")
 
@@ -68,48 +76,73 @@ def _is_extra() -> Column:
     return is_event("session_end") | F.col("event_name").isNull()
 
 
-def _before_purchase(events: DataFrame, seconds: int) -> DataFrame:
+def _before_purchase(
+    events: DataFrame, hot: Sequence[str] | None, seconds: int
+) -> DataFrame:
     """Events strictly before the first purchase of their session.
 
     Adds ``purchase_timestamp`` (first purchase of the session) and
-    ``known_cutoff``: the latest observation already certain from whole
-    segments. The purchase time reaches the rows through (session, segment),
-    so a hot session is met by as many tasks as it has segments.
+    ``known_cutoff``: the latest observation already certain without looking
+    at single rows of other segments. Most sessions are one segment, so both
+    come from a window over rows that are together anyway; a hot session takes
+    them from a summary with one row per segment.
     """
+    hot = hot_keys(events, "session_id") if hot is None else hot
+    at, bought = F.col("event_timestamp"), is_event("purchase_complete")
+    seen = F.when(~bought & ~_is_extra(), at)
+    together = Window.partitionBy("session_id", SEGMENT)
     cut = events.where(F.col("session_id").isNotNull()).withColumn(
-        SEGMENT, segment_of("event_timestamp", seconds)
+        SEGMENT, segment_of("session_id", "event_timestamp", hot, seconds)
     )
-    at, bought = F.col("event_timestamp"), is_event("purchase_complete")
-    observed = ~bought & ~_is_extra()
-    whole_session = Window.partitionBy("session_id")  # one row per segment
-    bought_at = F.col("purchase_timestamp")
-    settled = bought_at.isNull() | (
-        F.col(SEGMENT) < segment_of("purchase_timestamp", seconds)
+    rows = cut.select(
+        *cut.columns,
+        F.min(F.when(bought, at)).over(together).alias("purchase_timestamp"),
+        F.max(seen).over(together).alias("known_cutoff"),
+    )
+    bought_at, known = F.col("purchase_timestamp"), F.col("known_cutoff")
+    if hot:
+        rows = _with_hot_sessions(cut, rows, seen, hot, seconds)
+    else:
+        rows = rows.withColumn("known_cutoff", F.when(bought_at.isNull(), known))
+    return rows.where(F.col("event_name").isNull() | ~bought).where(
+        bought_at.isNull() | (at < bought_at)
     )
+
+
+def _with_hot_sessions(
+    cut: DataFrame, rows: DataFrame, seen: Column, hot: Sequence[str], seconds: int
+) -> DataFrame:
+    """Purchase time and known cutoff of hot sessions from their segments."""
+    bought = F.when(is_event("purchase_complete"), F.col("event_timestamp"))
+    whole_session = Window.partitionBy("session_id")  # one row per segment
+    settled = F.col("_bought").isNull() | (F.col(SEGMENT) < segment_number("_bought", seconds))
     slots = (
-        cut.groupBy("session_id", SEGMENT)
-        .agg(
-            F.min(F.when(bought, at)).alias("bought_here"),
-            F.max(F.when(observed, at)).alias("observed_here"),
-        )
-        .withColumn("purchase_timestamp", F.min("bought_here").over(whole_session))
-        .withColumn(
-            "known_cutoff", F.max(F.when(settled, F.col("observed_here"))).over(whole_session)
-        )
-        .drop("bought_here", "observed_here")
+        cut.where(is_hot("session_id", hot))
+        .groupBy("session_id", SEGMENT)
+        .agg(F.min(bought).alias("_bought_here"), F.max(seen).alias("_seen_here"))
+        .withColumn("_bought", F.min("_bought_here").over(whole_session))
+        .withColumn("_known", F.max(F.when(settled, F.col("_seen_here"))).over(whole_session))
+        .select("session_id", SEGMENT, "_bought", "_known", F.lit(True).alias("_hot"))
     )
-    return (
-        cut.where(F.col("event_name").isNull() | ~bought)
-        .join(slots, ["session_id", SEGMENT])
-        .where(bought_at.isNull() | (at < bought_at))
+    local_purchase, local_seen = F.col("purchase_timestamp"), F.col("known_cutoff")
+    return rows.join(slots, ["session_id", SEGMENT], "left").select(
+        *cut.columns,
+        F.when(F.col("_hot"), F.col("_bought")).otherwise(local_purchase).alias(
+            "purchase_timestamp"
+        ),
+        F.when(F.col("_hot"), F.col("_known"))
+        .otherwise(F.when(local_purchase.isNull(), local_seen))
+        .alias("known_cutoff"),
     )
 
 
-def observation_events(events: DataFrame, seconds: int = SEGMENT_SECONDS) -> DataFrame:
+def observation_events(
+    events: DataFrame, hot: Sequence[str] | None = None, seconds: int = SEGMENT_SECONDS
+) -> DataFrame:
     """Events that may be observed: strictly before the first purchase, without
     the purchase and the session end themselves."""
     return (
-        _before_purchase(events, seconds)
+        _before_purchase(events, hot, seconds)
         .where(~_is_extra())
         .select(*events.columns, "purchase_timestamp")
     )
@@ -136,7 +169,7 @@ def _merged() -> list[Column]:
     ]
 
 
-def _folded(events: DataFrame, seconds: int) -> DataFrame:
+def _folded(events: DataFrame, hot: Sequence[str] | None, seconds: int) -> DataFrame:
     """Events before the purchase as counts per session, user, context and name.
 
     Grouping keys and fixed-width buffers only, so these are hash aggregates.
@@ -157,7 +190,7 @@ def _folded(events: DataFrame, seconds: int) -> DataFrame:
     early = F.coalesce(at <= known, F.lit(False))
     open_end = F.col("purchase_timestamp").isNull()
     return (
-        _before_purchase(events, seconds)
+        _before_purchase(events, hot, seconds)
         .where(~_is_extra() | early | ~open_end)
         .withColumn("user_id", user)
         .withColumn("contested_at", F.when(_is_extra() & ~early, at))
@@ -196,13 +229,17 @@ def _cutoff(folded: DataFrame) -> DataFrame:
     )
 
 
-def observation_cutoff(events: DataFrame, seconds: int = SEGMENT_SECONDS) -> DataFrame:
+def observation_cutoff(
+    events: DataFrame, hot: Sequence[str] | None = None, seconds: int = SEGMENT_SECONDS
+) -> DataFrame:
     """Per session the last observable event: time, user, device and source."""
-    cutoff = _cutoff(_folded(events, seconds))
+    cutoff = _cutoff(_folded(events, hot, seconds))
     return cutoff.withColumn("user_id", F.nullif("user_id", F.lit(_NOBODY)))
 
 
-def churn_features(events: DataFrame, seconds: int = SEGMENT_SECONDS) -> DataFrame:
+def churn_features(
+    events: DataFrame, hot: Sequence[str] | None = None, seconds: int = SEGMENT_SECONDS
+) -> DataFrame:
     """One row per session with at least one observable event.
 
     Up to the cutoff lie exactly the observed events plus any session_end not
@@ -210,7 +247,7 @@ def churn_features(events: DataFrame, seconds: int = SEGMENT_SECONDS) -> DataFra
     too), so the features come from the folded events. Rows of another user
     than the cutoff's do not count.
     """
-    folded = _folded(events, seconds)
+    folded = _folded(events, hot, seconds)
     cutoff = _cutoff(folded)
     keys = ["session_id", *_CUTOFF_FIELDS]
     contested = F.col("contested_at")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,7 +71,7 @@ def event_distribution(events: DataFrame, by_name: bool = False) -> DataFrame:
     return counts.orderBy(F.desc("event_count"), "event_name")
 
 
-def session_order_check(events: DataFrame) -> DataFrame:
+def session_order_check(events: DataFrame, hot: Sequence[str] | None = None) -> DataFrame:
     """Events earlier than their predecessor in session order.
 
     The order is by the compared timestamp itself, so the count is 0 unless
@@ -81,6 +83,7 @@ def session_order_check(events: DataFrame) -> DataFrame:
         "event_timestamp",
         "event_id",
         ["event_timestamp"],
+        hot,
     )
     late = F.col("event_timestamp") < F.col("previous.event_timestamp")
     return rows.agg(tally(late).alias("out_of_order_events"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,14 +11,20 @@ from clickloom.functions.columns import is_event, minutes_between, round_to, sha
 from clickloom.functions.segments import SEGMENT_SECONDS, with_neighbours
 
 
-def event_context(events: DataFrame, seconds: int = SEGMENT_SECONDS) -> DataFrame:
-    """Each event with name and time of its neighbours in the session."""
+def event_context(
+    events: DataFrame, hot: Sequence[str] | None = None, seconds: int = SEGMENT_SECONDS
+) -> DataFrame:
+    """Each event with name and time of its neighbours in the session.
+
+    ``hot`` lists session ids to split by time; None finds them in one pass.
+    """
     rows = with_neighbours(
         events.select("session_id", "user_id", "event_id", "event_name", "event_timestamp"),
         "session_id",
         "event_timestamp",
         "event_id",
         ["event_timestamp", "event_name"],
+        hot,
         seconds,
     )
     return rows.select(
@@ -32,12 +40,14 @@ def event_context(events: DataFrame, seconds: int = SEGMENT_SECONDS) -> DataFram
     )
 
 
-def event_velocity(events: DataFrame, seconds: int = SEGMENT_SECONDS) -> DataFrame:
+def event_velocity(
+    events: DataFrame, hot: Sequence[str] | None = None, seconds: int = SEGMENT_SECONDS
+) -> DataFrame:
     """Minutes to the neighbouring events, each rounded to 2 places."""
     now = F.col("event_timestamp")
     since = minutes_between(F.col("previous_event_timestamp"), now)
     until = minutes_between(now, F.col("next_event_timestamp"))
-    return event_context(events, seconds).select(
+    return event_context(events, hot, seconds).select(
         "session_id",
         "user_id",
         "event_name",
@@ -59,11 +69,13 @@ def _mean(column: str) -> Column:
     return round_to(F.try_divide(F.sum(hundredths), F.count(column) * 100), 2)
 
 
-def velocity_metrics(events: DataFrame, seconds: int = SEGMENT_SECONDS) -> DataFrame:
+def velocity_metrics(
+    events: DataFrame, hot: Sequence[str] | None = None, seconds: int = SEGMENT_SECONDS
+) -> DataFrame:
     """Gap statistics and duration per (session, user)."""
     at, since = F.col("event_timestamp"), "minutes_since_previous_event"
     return (
-        event_velocity(events, seconds)
+        event_velocity(events, hot, seconds)
         .groupBy("session_id", "user_id")
         .agg(
             F.count("*").alias("total_events"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from clickloom import schema as S
 from clickloom.functions.columns import round_to
+from clickloom.functions.segments import hot_keys
 from clickloom.operators import (
     contracts,
     diagnostics,
@@ -93,6 +94,25 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return read_canonical(spark, sf)
 
 
+_HOT: dict[tuple[str, str], list[str]] = {}
+
+
+def _hot(spark: SparkSession, sf: str) -> list[str]:
+    """Hot sessions of the events table, found once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _HOT:
+        _HOT[key] = hot_keys(_events(spark, sf), "session_id")
+    return _HOT[key]
+
+
+def _over_sessions(**named) -> None:
+    """Register queries that work on ordered sessions of events."""
+    for name, operator in named.items():
+        _REGISTRY[name] = lambda spark, sf, op=operator: op(
+            _events(spark, sf), _hot(spark, sf)
+        )
+
+
 @_table("session_funnel")
 def _funnel(spark: SparkSession, sf: str) -> DataFrame:
     return funnel.session_funnel(_events(spark, sf))
@@ -100,7 +120,7 @@ def _funnel(spark: SparkSession, sf: str) -> DataFrame:
 
 @_table("velocity_metrics")
 def _velocity(spark: SparkSession, sf: str) -> DataFrame:
-    return velocity.velocity_metrics(_events(spark, sf))
+    return velocity.velocity_metrics(_events(spark, sf), _hot(spark, sf))
 
 
 def _population(spark: SparkSession, sf: str) -> DataFrame:
@@ -113,7 +133,7 @@ def _session_population(spark: SparkSession, sf: str) -> DataFrame:
 
 @_table("churn_features")
 def _features(spark: SparkSession, sf: str) -> DataFrame:
-    return features.churn_features(_events(spark, sf))
+    return features.churn_features(_events(spark, sf), _hot(spark, sf))
 
 
 def baseline_probability() -> Column:
@@ -245,12 +265,12 @@ _over(
     quality_report=quality.quality_report,
     dataset_overview=quality.dataset_overview,
     event_distribution=quality.event_distribution,
-    session_order_check=quality.session_order_check,
     missing_ids=quality.missing_ids,
     session_boundary=quality.session_boundary,
     unstable_assignment=quality.unstable_assignment,
     inconsistent_users=quality.inconsistent_users,
 )
+_over_sessions(session_order_check=quality.session_order_check)
 _over(_features, null_profile=quality.null_profile)
 
 
@@ -270,14 +290,16 @@ _over(
     first_step_events=funnel.first_step_events,
     session_funnel=funnel.session_funnel,
     checkout_funnel=funnel.checkout_funnel,
-    event_context=velocity.event_context,
-    event_velocity=velocity.event_velocity,
-    velocity_metrics=velocity.velocity_metrics,
     cart_idle_events=velocity.cart_idle_events,
     cart_idle_sessions=velocity.cart_idle_sessions,
     persona_distribution=velocity.persona_distribution,
     payment_friction=velocity.payment_friction,
 )
+_over_sessions(
+    event_context=velocity.event_context,
+    event_velocity=velocity.event_velocity,
+    velocity_metrics=velocity.velocity_metrics,
+)
 _over(
     _funnel,
     funnel_metrics=funnel.funnel_metrics,
@@ -338,13 +360,12 @@ def _population_reconciliation(spark, sf):
 
 
 # -------------------------------------------------------------------- features
-_over(
-    _events,
-    ordered_events=lambda df: features.ordered_events(df).withColumn(
+_over(_events, session_outcomes=features.session_outcomes)
+_over_sessions(
+    ordered_events=lambda df, hot: features.ordered_events(df, hot).withColumn(
         "quantity", F.col("quantity").cast("double")
     ),
-    session_outcomes=features.session_outcomes,
-    observation_events=lambda df: features.observation_events(df).select(
+    observation_events=lambda df, hot: features.observation_events(df, hot).select(
         "session_id", "user_id", "event_id", "event_name", "event_timestamp", "purchase_timestamp"
     ),
     observation_cutoff=features.observation_cutoff,

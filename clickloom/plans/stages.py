@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from clickloom import schema as S
+from clickloom.functions.segments import hot_keys
 from clickloom.operators import (
     contracts,
     experiments,
@@ -42,12 +43,19 @@ class Run:
     def table(self, name: str) -> DataFrame:
         return self.warehouse.read(name)
 
+    def hot_sessions(self) -> list[str]:
+        """Hot sessions of the loaded events, found once per run."""
+        if "hot_sessions" not in self.results:
+            self.results["hot_sessions"] = hot_keys(self.table("events"), "session_id")
+        return self.results["hot_sessions"]
+
     def publish(self, name: str, df: DataFrame) -> None:
         self.warehouse.write(name, df)
 
 
 def load(run: Run) -> None:
     run.results["quality"] = load_events(run.warehouse, *run.landing)
+    run.results.pop("hot_sessions", None)
 
 
 def behavioral(run: Run) -> None:
@@ -57,7 +65,9 @@ def behavioral(run: Run) -> None:
     run.publish(
         "analytics_funnel_metrics", funnel.funnel_metrics(run.table("analytics_session_funnel"))
     )
-    run.publish("analytics_velocity_metrics", velocity.velocity_metrics(events))
+    run.publish(
+        "analytics_velocity_metrics", velocity.velocity_metrics(events, run.hot_sessions())
+    )
 
 
 def experiment_population(run: Run) -> None:
@@ -79,7 +89,10 @@ def experiment_analysis(run: Run) -> None:
 
 
 def churn_features(run: Run) -> None:
-    run.publish("analytics_churn_feature_dataset", features.churn_features(run.table("events")))
+    run.publish(
+        "analytics_churn_feature_dataset",
+        features.churn_features(run.table("events"), run.hot_sessions()),
+    )
 
 
 def train_model(run: Run) -> None:

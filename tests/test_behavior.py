@@ -6,7 +6,7 @@ from conftest import at, make_events, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from clickloom.functions.segments import with_neighbours, with_positions
+from clickloom.functions.segments import hot_keys, with_neighbours, with_positions
 from clickloom.operators import funnel, velocity
 
 STEPS = [
@@ -181,20 +181,36 @@ def skewed(spark):
     return make_events(spark, out).cache()
 
 
-@pytest.mark.parametrize("seconds", [1, 900, 10**9])
-def test_neighbours_equal_a_plain_window(skewed, seconds):
+SPLITS = [
+    (None, 60),  # hot keys as found
+    ([], 60),  # nothing split
+    (["hot"], 1),
+    (["hot", "s1", "absent"], 900),
+    (["hot"], 10**9),
+]
+
+
+def test_hot_keys(spark, skewed):
+    assert hot_keys(skewed, "session_id", share=10) == ["hot"]
+    assert "hot" in hot_keys(skewed, "session_id")
+    assert hot_keys(skewed.limit(0), "session_id") == []
+    assert len(hot_keys(spark.range(5000).selectExpr("CAST(id AS STRING) AS k"), "k")) == 0
+
+
+@pytest.mark.parametrize("hot, seconds", SPLITS)
+def test_neighbours_equal_a_plain_window(skewed, hot, seconds):
     w = Window.partitionBy("session_id").orderBy("event_timestamp", "event_id")
     plain = skewed.select(
         "event_id", F.lag("event_id").over(w).alias("p"), F.lead("event_id").over(w).alias("f")
     )
     got = with_neighbours(
-        skewed, "session_id", "event_timestamp", "event_id", ["event_id"], seconds
+        skewed, "session_id", "event_timestamp", "event_id", ["event_id"], hot, seconds
     ).select("event_id", F.col("previous.event_id"), F.col("following.event_id"))
     assert rows(got) == rows(plain)
 
 
-@pytest.mark.parametrize("seconds", [1, 900, 10**9])
-def test_positions_equal_a_plain_window(skewed, seconds):
+@pytest.mark.parametrize("hot, seconds", SPLITS)
+def test_positions_equal_a_plain_window(skewed, hot, seconds):
     w = Window.partitionBy("session_id")
     plain = skewed.select(
         "event_id",
@@ -202,12 +218,13 @@ def test_positions_equal_a_plain_window(skewed, seconds):
         F.count("*").over(w),
     )
     got = with_positions(
-        skewed, "session_id", "event_timestamp", "event_id", "pos", "n", seconds
+        skewed, "session_id", "event_timestamp", "event_id", "pos", "n", hot, seconds
     ).select("event_id", "pos", "n")
     assert rows(got) == rows(plain)
 
 
 def test_velocity_does_not_depend_on_segments_or_partitions(skewed):
     base = rows(velocity.velocity_metrics(skewed))
-    assert rows(velocity.velocity_metrics(skewed, seconds=7)) == base
+    assert rows(velocity.velocity_metrics(skewed, [])) == base
+    assert rows(velocity.velocity_metrics(skewed, ["hot"], 7)) == base
     assert rows(velocity.velocity_metrics(skewed.repartition(13, "event_name"))) == base

@@ -66,8 +66,9 @@ def test_event_at_the_purchase_time_is_not_observed(spark):
     assert rows(features.churn_features(events), "total_actions_so_far", "has_cart") == [(1, 0)]
 
 
+@pytest.mark.parametrize("hot", [[], ["s"]])
 @pytest.mark.parametrize("purchase", [None, "10:01", "10:30"])
-def test_session_end_counts_up_to_the_cutoff(spark, purchase):
+def test_session_end_counts_up_to_the_cutoff(spark, purchase, hot):
     data = [
         ("s", "u", "10:00", "search"),
         ("s", "u", "10:00", "session_end"),
@@ -75,7 +76,7 @@ def test_session_end_counts_up_to_the_cutoff(spark, purchase):
     ]
     if purchase:
         data.append(("s", "u", purchase, "purchase_complete"))
-    got = features.churn_features(make_events(spark, data))
+    got = features.churn_features(make_events(spark, data), hot)
     assert rows(got, "total_actions_so_far", "unique_event_types") == [(2, 2)]
 
 
@@ -137,8 +138,10 @@ def brute_force(events):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("seconds", [5, 900, 10**9])
-def test_equals_brute_force_with_a_hot_session(spark, seconds):
+@pytest.mark.parametrize(
+    "hot, seconds", [(None, 60), ([], 60), (["hot"], 5), (["hot"], 900), (["hot", "s1"], 10**9)]
+)
+def test_equals_brute_force_with_a_hot_session(spark, hot, seconds):
     rng = random.Random(11)
     names = [n for n in S.EVENT_NAMES if n != "purchase_complete"]
     data = []
@@ -151,7 +154,7 @@ def test_equals_brute_force_with_a_hot_session(spark, seconds):
         extra = {"device_type": rng.choice(["mobile", "desktop"])}
         data.append((session, f"u{rng.randrange(2)}", moment, name, extra))
     events = make_events(spark, data)
-    got = features.churn_features(events, seconds).select(
+    got = features.churn_features(events, hot, seconds).select(
         "session_id",
         "user_id",
         "observation_timestamp",

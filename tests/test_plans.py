@@ -6,6 +6,7 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as entry
+from clickloom.operators import features, velocity
 from clickloom.plans import queries as registry
 
 QUERIES = entry.queries()
@@ -44,12 +45,13 @@ def test_scans_read_only_what_they_need(spark):
     assert "event_properties:struct<persona:string>" in nested
 
 
-def test_features_shuffle_event_rows_once(no_broadcast):
-    df = registry._features.compute(no_broadcast, SF_DIR)
-    plan = executed(df)
+@pytest.mark.parametrize("hot, scans", [([], 1), (["1-1"], 2)])
+def test_features_shuffle_event_rows_once(no_broadcast, hot, scans):
+    events = registry._events(no_broadcast, SF_DIR)
+    plan = executed(features.churn_features(events, hot))
     # both branches over the folded rows come from one shuffle
     assert "ReusedExchange" in plan
-    assert plan.count("FileScan parquet") == 2
+    assert plan.count("FileScan parquet") == scans
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
@@ -68,10 +70,20 @@ def test_reports_need_no_cross_join(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_no_window_over_whole_sessions_of_events(no_broadcast):
-    """Event rows are windowed by (session, segment), never by session alone."""
-    for name in ("event_context", "ordered_events"):
-        plan = plan_of(QUERIES[name](no_broadcast, SF_DIR))
-        scans = [line for line in plan.splitlines() if "Window [row_number" in line or
-                 "Window [lag(_w" in line]
-        assert scans and all("_segment" in line for line in scans)
+def test_hot_sessions_are_windowed_by_segment(no_broadcast):
+    events = registry._events(no_broadcast, SF_DIR)
+    for df in (
+        velocity.event_context(events, ["1-1"]),
+        features.ordered_events(events, ["1-1"]),
+    ):
+        rows = [
+            line
+            for line in plan_of(df).splitlines()
+            if "Window [row_number" in line or "Window [lag(_here" in line
+        ]
+        assert rows and all("_segment" in line for line in rows)
+
+
+def test_ordinary_sessions_need_one_shuffle(no_broadcast):
+    plan = plan_of(velocity.event_context(registry._events(no_broadcast, SF_DIR), []))
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Window [") == 1
