@@ -728,6 +728,60 @@ _sql(
     """,
 )
 
+_sql(
+    "ab_inference",
+    "spop",
+    f"""
+    , n AS (SELECT count(*) FILTER (variant = 'control') AS nc,
+                   count(*) FILTER (variant = 'treatment') AS nt,
+                   count(*) FILTER (variant = 'control' AND converted) AS xc,
+                   count(*) FILTER (variant = 'treatment' AND converted) AS xt
+            FROM spop),
+    r AS (SELECT *, xc / nc AS rc, xt / nt AS rt, (xc + xt) / (nc + nt) AS pooled,
+                 (xt / nt - xc / nc) / sqrt((xc + xt) / (nc + nt) * (1 - (xc + xt) / (nc + nt))
+                   * (1 / nc + 1 / nt)) AS z,
+                 {critical_value(0.95)!r}::DOUBLE * sqrt(
+                   xc / nc * (1 - xc / nc) / nc + xt / nt * (1 - xt / nt) / nt) AS half
+          FROM n),
+    -- P(|Z| < z) by its power series: 2 phi(z) (z + z^3/3 + z^5/(3*5) + ...)
+    series AS (SELECT i, sum(ln(2 * i + 1)) OVER (ORDER BY i) AS ln_odd FROM range(150) AS t(i)),
+    inside AS (SELECT 2 * exp(-any_value(z * z) / 2) / sqrt(2 * pi())
+                        * sum(abs(z) * exp(i * ln(z * z) - ln_odd)) AS p
+               FROM r, series)
+    SELECT nc AS control_users, nt AS treatment_users, xc AS control_conversions,
+           xt AS treatment_conversions, round(rc, 6) AS control_conversion_rate,
+           round(rt, 6) AS treatment_conversion_rate, round(rt - rc, 6) AS absolute_lift,
+           round((rt - rc) / rc, 6) AS relative_lift, round(z, 6) AS z_statistic,
+           round(1 - p, 6) AS z_test_p_value, round(z * z, 6) AS chi_square_statistic,
+           round(1 - p, 6) AS chi_square_p_value,
+           round(rt - rc - half, 6) AS confidence_interval_lower,
+           round(rt - rc + half, 6) AS confidence_interval_upper,
+           1 - p < 0.05 AS statistically_significant,
+           CASE WHEN 1 - p >= 0.05 OR z = 0
+                  THEN 'No statistically significant evidence of improvement. Continue experiment.'
+                WHEN z > 0 THEN 'Treatment outperforms Control. Recommend rollout.'
+                ELSE 'Treatment underperforms Control. Do not roll out.' END AS recommendation
+    FROM r, inside
+    """,
+)
+_sql(
+    "ab_consistency",
+    "spop",
+    f"""
+    , r AS (SELECT avg(CAST(converted AS INTEGER)) FILTER (variant = 'control') AS rc,
+                   avg(CAST(converted AS INTEGER)) FILTER (variant = 'treatment') AS rt,
+                   count(*) FILTER (variant = 'control') AS nc,
+                   count(*) FILTER (variant = 'treatment') AS nt,
+                   avg(CAST(converted AS INTEGER)) AS pooled FROM spop),
+    c AS (SELECT abs(rt - rc) > {critical_value(0.95)!r}::DOUBLE
+                   * sqrt(pooled * (1 - pooled) * (1 / nc + 1 / nt)) AS statistically_significant,
+                 abs(rt - rc) <= {critical_value(0.95)!r}::DOUBLE
+                   * sqrt(rc * (1 - rc) / nc + rt * (1 - rt) / nt) AS interval_contains_zero
+          FROM r)
+    SELECT *, statistically_significant <> interval_contains_zero AS is_consistent FROM c
+    """,
+)
+
 # -------------------------------------------------------------------- features
 _sql(
     "ordered_events",
@@ -1327,5 +1381,33 @@ _sql(
 )
 
 
+# ----------------------------------------------------------------- table schema
+_COLUMNS = f"""
+    SELECT row_number() OVER () AS place, column_name, column_type
+    FROM (DESCRIBE {_statement('SELECT * FROM feat', 'feat')})"""
+_SQL["describe"] = f"""
+    SELECT CAST(place AS INTEGER) AS ordinal_position, column_name,
+           CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint'
+                WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS column_type
+    FROM ({_COLUMNS})"""
+_NEEDED = [
+    c
+    for c in S.FEATURE_TABLE_COLUMNS
+    if c not in ("session_start_timestamp", "latest_event_timestamp")
+]
+_SQL["ml_schema_contract"] = f"""
+    SELECT CAST(count(*) FILTER (column_name IN ({_list(S.LEAKAGE_COLUMNS)})) AS INTEGER)
+             AS forbidden_columns,
+           string_agg(column_name, ',' ORDER BY column_name) FILTER (
+             column_name LIKE 'purchased%' OR column_name LIKE 'churned%') AS outcome_columns,
+           outcome_columns = 'churned,purchased' AS outcome_columns_exact,
+           CAST({len(_NEEDED)} - count(*) FILTER (column_name IN ({_list(_NEEDED)})) AS INTEGER)
+             AS missing_columns,
+           '' AS missing_names,
+           forbidden_columns = 0 AND outcome_columns_exact AND missing_columns = 0 AS passed
+    FROM ({_COLUMNS})"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)

@@ -343,7 +343,7 @@ _over(
 _over(
     _session_population,
     ab_test=lambda df: _rounded(experiments.ab_test(df)),
-    ab_inference=experiments.analyze_experiment,
+    ab_inference=lambda df: _rounded(experiments.analyze_experiment(df)),
     ab_consistency=lambda df: experiments.ab_consistency(experiments.analyze_experiment(df)),
     displayed_lift=lambda df: _rounded(
         experiments.displayed_lift(experiments.experiment_summary(df))
