@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +15,28 @@ SPACES = r"[\x20\x09-\x0D]+"  # one run of white space between words
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
+_SHIPPED: set[str] = set()  # applications whose workers have the package
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever they run.
+
+    The archive is made on the driver; Spark sends it to every worker, also to
+    executors that join later.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _SHIPPED:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = shutil.make_archive(
+            os.path.join(tempfile.mkdtemp(prefix="clickloom-"), "clickloom"),
+            "zip",
+            os.path.dirname(package),
+            os.path.basename(package),
+        )
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add(application)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data set, through Spark's own reader."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import exact_dedup, mixing
+from clickloom.llm import exact_dedup, mixing, quality_rules, simhash, token_counts
 from clickloom.llm.common import table
 
 
@@ -14,23 +14,81 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_quality_rules": op2_quality_rules,
         "op3_exact_dedup": op3_exact_dedup,
+        "op7_token_counts": op7_token_counts,
+        "op8_simhash": op8_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_quality_rules": OP2,
         "op3_exact_dedup": OP3,
     }
 
 
+OP2 = r"""
+WITH counted AS (
+    SELECT doc_id,
+           coalesce(text, '') AS t,
+           regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+           len(words) AS n_words,
+           length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+           length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+           list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+           len(lines) AS n_lines,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+           length(regexp_replace(t, '[^!]+', '', 'g')) AS n_marks,
+           length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS n_capitals,
+           len(list_filter(range(2, n_words + 1), i -> words[i] = words[i - 1])) AS n_same_words,
+           row_number() OVER () AS row
+    FROM documents
+), windows AS (
+    SELECT row, unnest(range(1, n_words - 6)) AS at, words FROM counted WHERE n_words > 8
+), repeated AS (
+    SELECT row, at
+    FROM (SELECT row, at, count(*) OVER (PARTITION BY row, array_to_string(words[at:at + 7], ' ')) AS n FROM windows)
+    WHERE n > 1
+), covered AS (
+    SELECT row, count(DISTINCT at + k) AS n_repeat_words
+    FROM repeated, range(8) AS eight(k)
+    GROUP BY row
+), judged AS (
+    SELECT *, coalesce(r.n_repeat_words, 0) AS n_repeats,
+           n_words < 20 OR 100 * n_repeats > 30 * n_words AS base_failed
+    FROM counted LEFT JOIN covered r USING (row)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeats AS n_repeat_words, base_failed,
+       NOT (base_failed
+            OR 10 * n_symbols > n_words
+            OR 10 * n_dup_lines > 6 * n_lines
+            OR 10 * n_marks > n_words
+            OR 2 * n_capitals > word_chars
+            OR 10 * n_same_words > 2 * n_words
+            OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words) AS kept
+FROM judged
+"""
+
 OP3 = r"""
 WITH hashed AS (
     SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
