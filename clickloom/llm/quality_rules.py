@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 from functools import cached_property, partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -188,16 +189,17 @@ def judge(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     )
 
 
-def _passes(order: str, texts: Iterator) -> Iterator:
-    import pandas as pd
-
-    rules = json.loads(order)
+def _passes(rules: list[str], texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for part in texts:
         yield pd.Series([rejected_by(Text(text), rules) is None for text in part], dtype=bool)
 
 
 def keep(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The documents that no rule rejects, with all their columns."""
-    order = json.dumps(order_rules(docs, sample))
-    passes = F.pandas_udf(partial(_passes, order), "boolean", F.PandasUDFType.SCALAR_ITER)
+    rules = order_rules(docs, sample)
+
+    @F.pandas_udf("boolean")
+    def passes(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return _passes(rules, texts)
+
     return docs.where(passes(F.col("text")))

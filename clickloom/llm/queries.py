@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import exact_dedup, mixing, quality_rules, simhash, token_counts
+from clickloom.llm import (
+    exact_dedup,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from clickloom.llm.common import table
 
 
@@ -22,6 +30,12 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -30,13 +44,19 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
         "op2_quality_rules": op2_quality_rules,
         "op3_exact_dedup": op3_exact_dedup,
+        "op5_quality_classifier": op5_quality_classifier,
         "op7_token_counts": op7_token_counts,
         "op8_simhash": op8_simhash,
+        "op10_toxicity": op10_toxicity,
     }
 
 
@@ -55,28 +75,28 @@ WITH counted AS (
            len(words) AS n_words,
            length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
            length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
-           list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
            len(lines) AS n_lines,
            len(lines) - len(list_distinct(lines)) AS n_dup_lines,
            length(regexp_replace(t, '[^!]+', '', 'g')) AS n_marks,
            length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS n_capitals,
-           len(list_filter(range(2, n_words + 1), i -> words[i] = words[i - 1])) AS n_same_words,
-           row_number() OVER () AS row
+           len(list_filter(range(2, n_words + 1), lambda i: words[i] = words[i - 1])) AS n_same_words,
+           row_number() OVER () AS uid
     FROM documents
 ), windows AS (
-    SELECT row, unnest(range(1, n_words - 6)) AS at, words FROM counted WHERE n_words > 8
+    SELECT uid, unnest(range(1, n_words - 6)) AS pos, words FROM counted WHERE n_words > 8
 ), repeated AS (
-    SELECT row, at
-    FROM (SELECT row, at, count(*) OVER (PARTITION BY row, array_to_string(words[at:at + 7], ' ')) AS n FROM windows)
+    SELECT uid, pos
+    FROM (SELECT uid, pos, count(*) OVER (PARTITION BY uid, array_to_string(words[pos:pos + 7], ' ')) AS n FROM windows)
     WHERE n > 1
 ), covered AS (
-    SELECT row, count(DISTINCT at + k) AS n_repeat_words
+    SELECT uid, count(DISTINCT pos + k) AS n_repeat_words
     FROM repeated, range(8) AS eight(k)
-    GROUP BY row
+    GROUP BY uid
 ), judged AS (
     SELECT *, coalesce(r.n_repeat_words, 0) AS n_repeats,
            n_words < 20 OR 100 * n_repeats > 30 * n_words AS base_failed
-    FROM counted LEFT JOIN covered r USING (row)
+    FROM counted LEFT JOIN covered r USING (uid)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeats AS n_repeat_words, base_failed,
        NOT (base_failed
