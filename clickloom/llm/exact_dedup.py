@@ -41,34 +41,34 @@ def filter_bits(rows: int, max_bits: int = MAX_BITS) -> int:
     return bits
 
 
-def _positions(sha: Column, bits: int) -> list[Column]:
+def _positions(key: Column, bits: int) -> list[Column]:
     """One position in each half of the filter."""
     half = bits // 2
-    return [F.pmod(F.xxhash64(sha, F.lit(i)), F.lit(half)) + i * half for i in range(2)]
+    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(half)) + i * half for i in range(2)]
 
 
-def repeated_positions(keys: DataFrame, bits: int) -> DataFrame:
-    """First pass: (word, mask) of the positions that more than one row sets.
+def set_positions(keys: DataFrame, key: Column, bits: int, least: int = 2) -> DataFrame:
+    """First pass: (word, mask) of the positions that ``least`` rows or more set.
 
     Counts are combined before the shuffle, so a text copied a million times
     sends one row per task.
     """
-    places = keys.select(F.explode(F.array(*_positions(F.col("sha"), bits))).alias("place"))
+    places = keys.select(F.explode(F.array(*_positions(key, bits))).alias("place"))
     return (
         places.groupBy("place")
         .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
+        .where(F.col("n") >= least)
         .groupBy(F.shiftright("place", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("mask"))
     )
 
 
-def maybe_repeated(rows: DataFrame, sha: Column, twice: DataFrame, bits: int, name: str) -> DataFrame:
-    """Second pass: flag ``name`` says whether both positions are set twice."""
+def maybe_set(rows: DataFrame, key: Column, chosen: DataFrame, bits: int, name: str) -> DataFrame:
+    """Second pass: flag ``name`` says whether both positions are in the filter."""
     hits = []
-    for i, place in enumerate(_positions(sha, bits)):
+    for i, place in enumerate(_positions(key, bits)):
         word, mask = f"{name}_word{i}", f"{name}_mask{i}"
-        side = F.broadcast(twice.select(F.col("word").alias(word), F.col("mask").alias(mask)))
+        side = F.broadcast(chosen.select(F.col("word").alias(word), F.col("mask").alias(mask)))
         rows = rows.join(side, F.shiftright(place, 6) == F.col(word), "left")
         bit = F.getbit(F.col(mask), (place % 64).cast("int"))
         hits.append(F.coalesce(bit == 1, F.lit(False)))
@@ -87,8 +87,8 @@ def mark(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         "dedup-keys",
     )
     bits = filter_bits(keys.count(), max_bits)
-    twice = stored(repeated_positions(keys, bits), "dedup-filter")
-    flagged = maybe_repeated(keys, F.col("sha"), twice, bits, "maybe")
+    twice = stored(set_positions(keys, F.col("sha"), bits), "dedup-filter")
+    flagged = maybe_set(keys, F.col("sha"), twice, bits, "maybe")
     unique = flagged.where(~F.col("maybe")).select(
         "doc_id",
         F.col("doc_id").alias("keep_id"),
@@ -128,9 +128,9 @@ def deduplicate(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     sha, flag = f"{name}_sha", f"{name}_flag"
     keys = stored(docs.select(text_sha256(F.col("text")).alias("sha")), "dedup-keys")
     bits = filter_bits(keys.count(), max_bits)
-    twice = stored(repeated_positions(keys, bits), "dedup-filter")
+    twice = stored(set_positions(keys, F.col("sha"), bits), "dedup-filter")
     rows = docs.withColumn(sha, text_sha256(F.col("text")))
-    flagged = maybe_repeated(rows, F.col(sha), twice, bits, flag)
+    flagged = maybe_set(rows, F.col(sha), twice, bits, flag)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
     best = (
         flagged.where(flag)

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from clickloom.llm import (
     exact_dedup,
     mixing,
+    packing,
     quality_classifier,
     quality_rules,
     simhash,
     token_counts,
     toxicity,
+    url_filters,
 )
 from clickloom.llm.common import table
 
@@ -30,12 +32,20 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     )
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -53,7 +63,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixing": op1_mixing,
         "op2_quality_rules": op2_quality_rules,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_url_filters": op4_url_filters,
         "op5_quality_classifier": op5_quality_classifier,
+        "op6_packing": op6_packing,
         "op7_token_counts": op7_token_counts,
         "op8_simhash": op8_simhash,
         "op10_toxicity": op10_toxicity,
@@ -64,6 +76,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_quality_rules": OP2,
         "op3_exact_dedup": OP3,
+        "op4_url_filters": OP4,
     }
 
 
@@ -122,3 +135,30 @@ SELECT doc_id,
 FROM hashed
 WINDOW same AS (PARTITION BY text_sha256)
 """
+
+OP4 = r"""
+WITH cut AS (
+    SELECT page_id,
+           translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+    FROM pages
+), ruled AS (
+    SELECT *,
+           '.' || host AS dotted,
+           CASE WHEN dotted LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+                WHEN dotted LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+                WHEN dotted LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+                WHEN dotted LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+                WHEN dotted LIKE '%.org' AND starts_with(path, '/') THEN 'org/'
+           END AS rule
+    FROM cut
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/fr/', 'org/') THEN 'allow'
+            WHEN rule IS NOT NULL THEN 'block'
+            WHEN dotted LIKE '%.spam-farm.%' OR dotted LIKE '%.cheap-pills.%' THEN 'block'
+            ELSE 'allow'
+       END AS verdict
+FROM ruled
+"""

@@ -27,18 +27,21 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import ship, stored
+from clickloom.llm.exact_dedup import filter_bits, maybe_set, set_positions
 
 SHINGLE = 3
 SEED = 42
 DISTANCE = 3
 BLOCKS = 6  # keys of 3 blocks, 31 to 33 bits; 20 keys a fingerprint
 CROWD = 128
+HOT_SHARE = 1_000
 BITS_AT_ONCE = 4096  # shingles whose bits are unpacked together
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))  # A-Z only
@@ -177,16 +180,29 @@ def components(edges: DataFrame) -> DataFrame:
         edges = small
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of every document."""
-    rows = stored(fingerprints(docs), "simhash")
-    prints = stored(rows.groupBy("print").agg(F.min("doc_id").alias("first")), "simhash-prints")
+def members_of(rows: DataFrame) -> DataFrame:
+    """print, root, component_id and rows of the component, one row a print."""
+    prints = stored(
+        rows.groupBy("print").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")),
+        "simhash-prints",
+    )
     roots = stored(components(links(prints.select("print"))), "simhash-roots")
     linked = prints.join(roots, F.col("print") == F.col("node"), "left").select(
-        "print", "first", F.coalesce("root", "print").alias("root")
+        "print", "first", "n", F.coalesce("root", "print").alias("root")
+    )
+    named = linked.groupBy("root").agg(
+        F.min("first").alias("component_id"), F.sum("n").alias("n_rows")
     )
-    named = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    members = stored(linked.join(named, "root").select("print", "component_id"), "simhash-members")
+    return stored(
+        linked.join(named, "root").select("print", "root", "component_id", "n_rows"),
+        "simhash-members",
+    )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id of every document."""
+    rows = stored(fingerprints(docs), "simhash")
+    members = members_of(rows).select("print", "component_id")
     return _spread(rows, members).select(
         "doc_id",
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
@@ -194,9 +210,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-HOT_SHARE = 1_000
-
-
 def _spread(rows: DataFrame, members: DataFrame) -> DataFrame:
     """Rows with the component of their fingerprint.
 
@@ -210,3 +223,40 @@ def _spread(rows: DataFrame, members: DataFrame) -> DataFrame:
     frequent = marked.where("component_id IS NOT NULL OR print IS NULL")
     rest = marked.where("component_id IS NULL AND print IS NOT NULL").drop("component_id")
     return frequent.unionByName(rest.join(members, "print"))
+
+
+def deduplicate(docs: DataFrame) -> DataFrame:
+    """One document of each component, with all its columns: the smallest doc_id.
+
+    Documents alone in their component never move: a filter over the prints of
+    the other components, bounded like that of the exact operator, lets them
+    pass. The rest is folded to one row a print, then to one a component, both
+    before each shuffle. Of rows equal in doc_id and print one stays.
+    """
+    shared = stored(
+        members_of(stored(fingerprints(docs), "simhash")).where("n_rows > 1").select("print", "root"),
+        "simhash-shared",
+    )
+    bits = filter_bits(shared.count())
+    present = stored(set_positions(shared, F.col("print"), bits, least=1), "simhash-filter")
+
+    @F.pandas_udf("bigint")
+    def print_of(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
+
+    name = "_print" + "_" * max([0, *(len(c) for c in docs.columns)])  # longer than any column
+    flag = f"{name}_flag"
+    rows = docs.withColumn(name, print_of(F.col("text")))
+    flagged = maybe_set(rows, F.col(name), present, bits, flag)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"))
+    best = (
+        flagged.where(flag)
+        .groupBy(F.col(name).alias("print"))
+        .agg(F.min_by(F.struct(*columns), order).alias("whole"), F.min(order).alias("order"))
+        .join(shared, "print", "left")
+        .groupBy(F.coalesce("root", "print").alias("root"))
+        .agg(F.min_by("whole", F.struct("order", "print")).alias("whole"))
+        .select("whole.*")
+    )
+    return flagged.where(~F.col(flag)).select(*columns).unionByName(best)

@@ -6,23 +6,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import exact_dedup
+from clickloom.llm import exact_dedup, mixing, packing, quality_classifier, simhash
 from clickloom.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality_classifier.keep(docs, table(spark, sf_dir, "labels"))
+
+
 def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each set of equal texts."""
     return exact_dedup.deduplicate(docs)
 
 
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of linked fingerprints."""
+    return simhash.deduplicate(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: each document as often as its source's target takes it."""
+    return mixing.mixed(docs)
+
+
+def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the mix in token-budget batches."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", classify_quality),
     ("exact_dedup", dedup_exact),
+    ("simhash_near_dedup", dedup_near),
+    ("mixing", mix_sources),
+    ("packing", pack_batches),
 ]
 
-# A trained classifier and fingerprints of white-space words have no SQL;
-# tests/llm compares run() with a version on plain Python.
+# A trained classifier, XXH64 fingerprints, the drawn mix and the optimal
+# buckets have no SQL; tests/llm holds run() against brute force.
 ORACLE_SQL = None
 
 
