@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.llm import (
+    chat,
     exact_dedup,
     mixing,
     packing,
@@ -54,6 +55,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return chat.format_chats(chat.as_calls(conversations), chat.REPLY_SCHEMAS)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -68,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_packing": op6_packing,
         "op7_token_counts": op7_token_counts,
         "op8_simhash": op8_simhash,
+        "op9_chat_formatting": op9_chat_formatting,
         "op10_toxicity": op10_toxicity,
     }
 
@@ -77,6 +84,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_quality_rules": OP2,
         "op3_exact_dedup": OP3,
         "op4_url_filters": OP4,
+        "op9_chat_formatting": OP9,
     }
 
 
@@ -162,3 +170,37 @@ SELECT page_id, host, path, rule,
        END AS verdict
 FROM ruled
 """
+
+OP9 = r"""
+WITH shaped AS (
+    SELECT *,
+           row_number() OVER () AS uid,
+           CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+           CASE role WHEN 'user' THEN conv_id || ':' || turn
+                     WHEN 'assistant' THEN conv_id || ':' || (turn - 1) END AS call_id
+    FROM conversations
+), used AS (
+    SELECT *,
+           row_number() OVER (PARTITION BY kind, call_id ORDER BY turn, text) AS use,
+           count(*) FILTER (kind = 'call') OVER (PARTITION BY call_id) AS calls,
+           count(*) FILTER (kind = 'result') OVER (PARTITION BY call_id) AS results
+    FROM shaped
+)
+SELECT conv_id, turn, kind, call_id,
+       CASE WHEN kind = 'message' THEN 'message'
+            WHEN call_id IS NULL THEN 'no_id'
+            WHEN use > 1 THEN 'repeated'
+            WHEN kind = 'call' AND results = 0 THEN 'no_result'
+            WHEN kind = 'result' AND calls = 0 THEN 'no_call'
+            ELSE 'linked' END AS status,
+       CASE WHEN kind = 'call' THEN coalesce(length(text) >= 1, false) ELSE true END AS valid,
+       turn AS order_turn,
+       0 AS order_level,
+       CASE kind
+           WHEN 'call' THEN json_object('arguments', json_object('prompt', text, 'turn', turn),
+                                        'id', call_id, 'name', 'reply', 'role', role, 'type', 'call')
+           WHEN 'result' THEN json_object('content', text, 'id', call_id, 'role', role, 'type', 'result')
+           ELSE json_object('content', text, 'role', role, 'type', 'message')
+       END::VARCHAR AS line
+FROM used
+"""
