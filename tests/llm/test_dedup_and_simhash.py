@@ -1,0 +1,153 @@
+"""Exact and near deduplication against brute force."""
+
+import hashlib
+import re
+from collections import defaultdict
+
+import pytest
+import xxhash
+from llm_cases import ODD, clashing, collected, make_docs, odd  # noqa: F401
+
+from clickloom.llm import exact_dedup, simhash
+
+
+def norm(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def least(ids):
+    known = [i for i in ids if i is not None]
+    return min(known) if known else None
+
+
+def brute_exact(rows):
+    groups = defaultdict(list)
+    for doc_id, text, *_ in rows:
+        groups[hashlib.sha256(norm(text).encode()).hexdigest()].append(doc_id)
+    return sorted(
+        ((i, least(ids), len(ids), sha) for sha, ids in groups.items() for i in ids), key=repr
+    )
+
+
+@pytest.mark.parametrize("bits", [exact_dedup.MAX_BITS, 64])  # the small filter is full
+def test_mark_equals_brute_force(odd, bits):
+    got = exact_dedup.mark(odd, bits)
+    assert collected(got, "doc_id", "keep_id", "group_size", "text_sha256") == brute_exact(ODD)
+    kept = [r for r in got.collect() if r["kept"]]
+    assert len(kept) == len({r["text_sha256"] for r in got.collect()})
+    assert all(r["doc_id"] == r["keep_id"] for r in kept)
+
+
+def test_mark_large_group(make_docs):
+    rows = [(i, "the same text" if i % 3 == 0 else f"text {i}") for i in range(3000)]
+    got = exact_dedup.mark(make_docs(rows))
+    assert collected(got, "doc_id", "keep_id", "group_size", "text_sha256") == brute_exact(rows)
+    assert got.where("kept").count() == 2001
+
+
+def test_deduplicate_keeps_columns_and_least_id(clashing):
+    got = exact_dedup.deduplicate(clashing)
+    assert got.columns == clashing.columns
+    assert {(r["doc_id"], norm(r["text"])) for r in got.collect()} == {
+        (keep, text)
+        for text, keep in {
+            (norm(t), least([i for i, u, *_ in ODD if norm(u) == norm(t)])) for _, t, *_ in ODD
+        }
+    }
+    assert got.where("sha = 'x-sha'").count() == got.count()
+
+
+def test_empty_table(make_docs):
+    none = make_docs([(1, "a")]).where("doc_id < 0")
+    assert exact_dedup.mark(none).count() == exact_dedup.deduplicate(none).count() == 0
+    assert simhash.near_duplicates(none).count() == simhash.deduplicate(none).count() == 0
+
+
+def brute_print(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(rows):
+    prints = [brute_print(t) for _, t, *_ in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if bin(prints[i] ^ prints[j]).count("1") <= 3:
+                parent[find(i)] = find(j)
+    ids = defaultdict(list)
+    for i, row in enumerate(rows):
+        ids[find(i)].append(row[0])
+    return sorted(
+        ((r[0], f"{p:016x}", least(ids[find(i)])) for i, (r, p) in enumerate(zip(rows, prints))), key=repr
+    )
+
+
+def near_copies():
+    """Texts of 400 words with few changes, so that fingerprints lie close."""
+    rows = []
+    for base in range(6):
+        words = [f"w{base}x{i * 7919 % 1000}" for i in range(400)]
+        for copy in range(12):
+            changed = list(words)
+            for k in range(copy % 5):
+                changed[(copy * 31 + k * 57) % 400] = f"new{copy}{k}"
+            rows.append((base * 100 + copy, " ".join(changed)))
+    return rows
+
+
+@pytest.mark.parametrize("crowd", [simhash.CROWD, 2])  # 2: nearly all go the way of crowds
+def test_near_duplicates_equal_brute_force(make_docs, monkeypatch, crowd):
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    rows = near_copies() + ODD
+    got = simhash.near_duplicates(make_docs(rows))
+    want = brute_components(rows)
+    assert collected(got, "doc_id", "fingerprint", "component_id") == want
+    assert len({w[2] for w in want}) < len(rows) - 20  # there are links to find
+
+
+def test_links_of_close_fingerprints(spark):
+    """Chains at distance 1 to 4 around one value, and its complement."""
+    values = [0, 1, 3, 15, 0b1111000, (1 << 63), (1 << 63) | 7, (1 << 64) - 1, (1 << 64) - 9]
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    for crowd in (simhash.CROWD, 1):
+        simhash_crowd, simhash.CROWD = simhash.CROWD, crowd
+        try:
+            edges = simhash.links(spark.createDataFrame([(v,) for v in signed], "print long"))
+            roots = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
+        finally:
+            simhash.CROWD = simhash_crowd
+        named = {}
+        for a, s in zip(values, signed):
+            named.setdefault(roots.get(s, s), set()).add(a)
+        parts = [{0, 1, 3, 15, 1 << 63, (1 << 63) | 7}, {0b1111000}, {(1 << 64) - 1, (1 << 64) - 9}]
+        assert sorted(map(sorted, named.values())) == sorted(map(sorted, parts))
+
+
+def test_components_of_long_paths(spark):
+    edges = [(i, i + 1) for i in range(200)] + [(1000, 2000), (3000, 2000)]
+    got = simhash.components(spark.createDataFrame(edges, "a long, b long"))
+    roots = {r["node"]: r["root"] for r in got.collect()}
+    assert all(roots[i] == 0 for i in range(1, 201))
+    assert roots[2000] == roots[3000] == 1000
+
+
+def test_simhash_deduplicate(make_docs, clashing):
+    rows = near_copies()
+    got = simhash.deduplicate(make_docs(rows))
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted({w[2] for w in brute_components(rows)})
+    kept = simhash.deduplicate(clashing)
+    assert kept.columns == clashing.columns
+    assert {r["doc_id"] for r in kept.collect()} == {w[2] for w in brute_components(ODD)}
+    assert kept.count() == 5  # the two documents of number 7 are in components of their own
