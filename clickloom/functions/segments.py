@@ -5,10 +5,12 @@ session may hold a third of all events. A key that holds more than one
 thousandth of the rows is therefore cut into time segments: row-level work
 runs per (key, segment), and what must cross a segment border travels through
 a summary with one row per hot key and segment. All other keys are a single
-segment and need one shuffle and no summary.
+segment and need one shuffle and no summary. Rows without a key are a group
+like any other and can be hot as well (None in the list).
 
 Which keys count as hot only decides how work is spread. Results are the same
-for any list of hot keys.
+for any list of hot keys: rows and segment ends use one ordering, with NULL
+times and NULL ties last.
 """
 
 from __future__ import annotations
@@ -23,25 +25,32 @@ from clickloom.functions.columns import time_bucket
 SEGMENT_SECONDS = 60
 SEGMENT = "_segment"
 HOT_SHARE = 1_000
+TASK_ROWS = 5_000_000  # a key with more rows is hot whatever its share
+MOST_HOT = 100_000  # bound of the list of hot keys
 _WHOLE_KEY = -(2**62)  # the only segment of a key that is not hot
 _NO_TIME = 2**62  # rows without a timestamp sort last, in a segment of their own
 
 
-def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> list:
-    """Keys with more than 1/``share`` of the rows: fewer than ``share`` values.
+def hot_keys(
+    df: DataFrame, key: str, share: int = HOT_SHARE, task_rows: int = TASK_ROWS
+) -> list:
+    """Keys with more than 1/``share`` of the rows or more than ``task_rows``.
 
     One pass over the key column with a frequent-items sketch (partial
-    aggregation, nothing shuffled by key); the result is bounded by ``share``.
+    aggregation, nothing shuffled by key) that keeps as many keys as can have
+    so many rows, at most ``MOST_HOT``.
     """
-    row = df.agg(
-        F.expr(f"approx_top_k({key}, {share}, {10 * share})").alias("top"),
-        F.count("*").alias("n"),
-    ).first()
-    return [entry["item"] for entry in row["top"] or [] if entry["count"] * share > row["n"]]
+    n = df.count()
+    share = min(MOST_HOT, max(share, n // task_rows))
+    top = df.agg(F.expr(f"approx_top_k({key}, {share}, {10 * share})").alias("top")).first()["top"]
+    return [entry["item"] for entry in top or [] if entry["count"] * share > n]
 
 
 def is_hot(key: str, hot: Sequence) -> Column:
-    return F.coalesce(F.col(key).isin(list(hot)), F.lit(False)) if hot else F.lit(False)
+    if not hot:
+        return F.lit(False)
+    known = F.coalesce(F.col(key).isin([k for k in hot if k is not None]), F.lit(False))
+    return known | F.col(key).isNull() if None in hot else known
 
 
 def segment_number(ts: str, seconds: int) -> Column:
@@ -59,12 +68,32 @@ def _chain(key: str):
     return Window.partitionBy(key).orderBy(SEGMENT)
 
 
+def _position(ts: str, tie: str) -> Column:
+    """Place of a row among those of its key; NULL times and ties come last."""
+    return F.struct(
+        F.col(ts).isNull().alias("no_time"),
+        F.col(ts).alias("time"),
+        F.col(tie).isNull().alias("no_tie"),
+        F.col(tie).alias("tie"),
+    )
+
+
 def _in_segment(key: str, ts: str, tie: str):
+    # The order of _position; plain columns, so that windows share one sort.
     return Window.partitionBy(key, SEGMENT).orderBy(
         F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last()
     )
 
 
+def join_segments(rows: DataFrame, summary: DataFrame, key: str) -> DataFrame:
+    """Left join by key and segment; rows without a key meet as well."""
+    other = summary.withColumnsRenamed({key: "_summary_key", SEGMENT: "_summary_segment"})
+    same = F.col(key).eqNullSafe(F.col("_summary_key")) & (
+        F.col(SEGMENT) == F.col("_summary_segment")
+    )
+    return rows.join(other, same, "left")
+
+
 def with_neighbours(
     df: DataFrame,
     key: str,
@@ -92,7 +121,7 @@ def with_neighbours(
     )
     if not hot:
         return rows.drop(SEGMENT)
-    position = F.struct(ts, tie)
+    position = _position(ts, tie)
     links = (
         cut.where(is_hot(key, hot))
         .groupBy(key, SEGMENT)
@@ -107,7 +136,7 @@ def with_neighbours(
             F.lead("_first").over(_chain(key)).alias("_after"),
         )
     )
-    return rows.join(links, [key, SEGMENT], "left").select(
+    return join_segments(rows, links, key).select(
         *df.columns,
         F.coalesce("previous", "_before").alias("previous"),
         F.coalesce("following", "_after").alias("following"),
@@ -143,7 +172,7 @@ def with_positions(
         F.sum("_n").over(earlier).alias("_offset"),
         F.sum("_n").over(Window.partitionBy(key)).alias("_total"),
     )
-    return rows.join(offsets, [key, SEGMENT], "left").select(
+    return join_segments(rows, offsets, key).select(
         *df.columns,
         (F.col(position) + F.coalesce("_offset", F.lit(0))).alias(position),
         F.coalesce("_total", total).alias(total),

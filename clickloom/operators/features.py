@@ -26,6 +26,7 @@ from clickloom.functions.segments import (
     SEGMENT_SECONDS,
     hot_keys,
     is_hot,
+    join_segments,
     segment_number,
     segment_of,
     with_positions,
@@ -125,7 +126,7 @@ def _with_hot_sessions(
         .select("session_id", SEGMENT, "_bought", "_known", F.lit(True).alias("_hot"))
     )
     local_purchase, local_seen = F.col("purchase_timestamp"), F.col("known_cutoff")
-    return rows.join(slots, ["session_id", SEGMENT], "left").select(
+    return join_segments(rows, slots, "session_id").select(
         *cut.columns,
         F.when(F.col("_hot"), F.col("_bought")).otherwise(local_purchase).alias(
             "purchase_timestamp"
@@ -148,7 +149,6 @@ def observation_events(
     )
 
 
-_NOBODY = "<no user>"
 _CUTOFF_FIELDS = ("observation_timestamp", "user_id", "device_type", "traffic_source")
 _GROUP_KEYS = (
     "session_id",
@@ -160,6 +160,15 @@ _GROUP_KEYS = (
 )
 
 
+def _user_key() -> Column:
+    """The user behind a sign, or nothing for no user: no real id is special."""
+    return F.coalesce(F.concat(F.lit("="), F.col("user_id")), F.lit(""))
+
+
+def _user_of(key: str) -> Column:
+    return F.when(F.col(key) != "", F.substring(key, 2, 2**31 - 1))
+
+
 def _merged() -> list[Column]:
     return [
         F.sum("n").alias("n"),
@@ -184,13 +193,15 @@ def _folded(events: DataFrame, hot: Sequence[str] | None, seconds: int) -> DataF
     (``contested_at``) until the cutoff is known.
     """
     # A user that can be NULL would get a NOT NULL filter on the join branch of
-    # churn_features only, and the two branches would shuffle separately.
-    user = F.coalesce("user_id", F.lit(_NOBODY))
+    # churn_features only, and the two branches would shuffle separately; the
+    # key of a user is never NULL.
+    user = _user_key()
     at, known = F.col("event_timestamp"), F.col("known_cutoff")
     early = F.coalesce(at <= known, F.lit(False))
     open_end = F.col("purchase_timestamp").isNull()
     return (
         _before_purchase(events, hot, seconds)
+        .where(at.isNotNull())  # without a time nothing lies before the cutoff
         .where(~_is_extra() | early | ~open_end)
         .withColumn("user_id", user)
         .withColumn("contested_at", F.when(_is_extra() & ~early, at))
@@ -234,7 +245,7 @@ def observation_cutoff(
 ) -> DataFrame:
     """Per session the last observable event: time, user, device and source."""
     cutoff = _cutoff(_folded(events, hot, seconds))
-    return cutoff.withColumn("user_id", F.nullif("user_id", F.lit(_NOBODY)))
+    return cutoff.withColumn("user_id", _user_of("user_id"))
 
 
 def churn_features(
@@ -284,9 +295,9 @@ def churn_features(
                 "observed_session_duration_minutes"
             ),
             (1 - purchased).alias("churned"),
-            F.max(F.col("user_id") == _NOBODY).alias("no_user"),
         )
-        .where(~F.col("no_user"))
+        .withColumn("user_id", _user_of("user_id"))
+        .where(F.col("user_id").isNotNull())
         .select(*S.FEATURE_TABLE_COLUMNS)
     )
 
@@ -344,41 +355,27 @@ def feature_correlations(
 ) -> DataFrame:
     """Pearson matrix in long form: feature_a, feature_b, correlation.
 
-    One pass over sums and pairwise products, few enough buffers to stay in
-    generated code (one ``corr`` per pair would not). A constant feature has
-    no correlation: NULL.
+    One pass, one centred sum of products a pair, so large values do not cancel;
+    a row counts for a pair if it has both values. A constant feature has no
+    correlation: NULL.
     """
-    place = {name: i for i, name in enumerate(columns)}
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    rows = features.select(*[F.col(c).cast("double").alias(f"x{i}") for c, i in place.items()])
-    sums = rows.dropna().selectExpr(
-        "CAST(count(*) AS DOUBLE) AS n",
-        *[f"sum(x{i}) AS s{i}" for i in place.values()],
-        *[f"min(x{i}) < max(x{i}) AS varies{i}" for i in place.values()],
-        *[f"sum(x{place[a]} * x{place[b]}) AS s{place[a]}_{place[b]}" for a, b in pairs],
-    )
-
-    def pair(a: str, b: str) -> str:
-        i, j = place[a], place[b]
-        return (
-            f"struct('{a}' AS a, '{b}' AS b, varies{i} AND varies{j} AS both_vary, s{i} AS sa, "
-            f"s{j} AS sb, s{i}_{i} AS saa, s{j}_{j} AS sbb, s{i}_{j} AS sab)"
-        )
-
-    def moment(xy: str, sx: str, sy: str) -> Column:
-        """n times the centered sum of products."""
-        return F.col("n") * F.col(xy) - F.col(sx) * F.col(sy)
-
-    spread = F.sqrt(moment("saa", "sa", "sa")) * F.sqrt(moment("sbb", "sb", "sb"))
-    r = F.when(F.col("both_vary"), F.try_divide(moment("sab", "sa", "sb"), spread))
-    directions = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
-    return (
-        sums.selectExpr("n", f"inline(array({', '.join(pair(a, b) for a, b in pairs)}))")
-        .select(r.alias("correlation"), F.explode(F.array_distinct(directions)).alias("d"))
-        .select(
-            F.col("d.a").alias("feature_a"), F.col("d.b").alias("feature_b"), "correlation"
-        )
-    )
+    rows = features.select(*[F.col(c).cast("double").alias(c) for c in columns])
+
+    def corr(a: str, b: str) -> Column:
+        # regr_* take the rows that have both; corr itself fails on a constant
+        spread = F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b))
+        return F.try_divide(F.regr_sxy(a, b), spread)
+
+    found = rows.agg(*[corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    triples = []
+    for a, b in pairs:
+        r = F.nanvl(F.col(f"{a}|{b}"), F.lit(None).cast("double")).alias("correlation")
+        for left, right in dict.fromkeys([(a, b), (b, a)]):
+            triples.append(
+                F.struct(F.lit(left).alias("feature_a"), F.lit(right).alias("feature_b"), r)
+            )
+    return found.select(F.inline(F.array(*triples)))
 
 
 def high_correlations(

@@ -9,7 +9,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom import schema as S
@@ -50,15 +50,38 @@ def preprocess(features: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- split
-def in_test_part(test_share: float = 0.20, seed: int = 42) -> Column:
-    """True for the test sessions: a fixed hash of session and seed, so the
-    split is the same on every run, partitioning and cluster. Each label keeps
-    the share in expectation."""
-    return F.pmod(F.xxhash64("session_id", F.lit(seed)), F.lit(10_000)) < int(test_share * 10_000)
+def _bucket(seed: int) -> Column:
+    """One of 65,536 buckets by SHA-256 of session and seed."""
+    digest = F.sha2(F.concat_ws(":", F.col("session_id"), F.lit(str(seed))), 256)
+    return F.conv(F.substring(digest, 1, 4), 16, 10).cast("int")
+
+
+def in_test_part(features: DataFrame, test_share: float = 0.20, seed: int = 42) -> Column:
+    """True for the test sessions, the same on every run and cluster.
+
+    Of each label, the buckets up to a cut of its own are the test part: the
+    first bucket at which the label's share is reached, so each label holds its
+    share to within one bucket. Cuts come from counts per label and bucket.
+    """
+    per_label = Window.partitionBy(LABEL)
+    cuts = (
+        features.groupBy(LABEL, _bucket(seed).alias("bucket"))
+        .agg(F.count("*").alias("n"))
+        .withColumn("before", F.sum("n").over(per_label.orderBy("bucket")) - F.col("n"))
+        .withColumn("total", F.sum("n").over(per_label))
+        .where(F.col("before") < F.col("total") * test_share)
+        .groupBy(LABEL)
+        .agg(F.max("bucket").alias("cut"))
+        .collect()  # one row a label
+    )
+    cut = F.lit(-1)
+    for row in cuts:
+        cut = F.when(F.col(LABEL).eqNullSafe(F.lit(row[LABEL])), row["cut"]).otherwise(cut)
+    return _bucket(seed) <= cut
 
 
 def split(features: DataFrame, test_share: float = 0.20, seed: int = 42):
-    test = in_test_part(test_share, seed)
+    test = in_test_part(features, test_share, seed)
     return features.where(~test), features.where(test)
 
 
@@ -90,8 +113,7 @@ def train_logistic(features: DataFrame, max_iter: int = 1000) -> PipelineModel:
         regParam=1.0 / n,
         standardization=False,
     )
-    stages = [*preprocessing_stages(), estimator]
-    return Pipeline(stages=stages).fit(features.withColumn(_WEIGHT, balance))
+    return _fit_prepared(features.withColumn(_WEIGHT, balance), estimator)
 
 
 def train_boosting(features: DataFrame, max_iter: int = 200, seed: int = 42) -> PipelineModel:
@@ -105,7 +127,19 @@ def train_boosting(features: DataFrame, max_iter: int = 200, seed: int = 42) ->
         minInstancesPerNode=20,
         seed=seed,
     )
-    return Pipeline(stages=[*preprocessing_stages(), estimator]).fit(features)
+    return _fit_prepared(features, estimator)
+
+
+def _fit_prepared(features: DataFrame, estimator) -> PipelineModel:
+    """Preprocess once, keep the rows while the estimator iterates over them."""
+    ready = Pipeline(stages=preprocessing_stages()).fit(features)
+    columns = [LABEL, "features", *([_WEIGHT] if _WEIGHT in features.columns else [])]
+    rows = ready.transform(features).select(*columns).persist()
+    try:
+        fitted = estimator.fit(rows)
+    finally:
+        rows.unpersist()
+    return PipelineModel(stages=[*ready.stages, fitted])
 
 
 # --------------------------------------------------------------------- scoring
@@ -150,10 +184,17 @@ def compare_models(
     train: DataFrame, test: DataFrame, logistic_iter: int = 1000, boosting_iter: int = 200
 ) -> DataFrame:
     """Both classifiers on the same split, best ROC AUC first."""
-    candidates = {
-        LOGISTIC: train_logistic(train, logistic_iter),
-        BOOSTING: train_boosting(train, boosting_iter),
-    }
+    return compare_fitted(
+        {
+            LOGISTIC: train_logistic(train, logistic_iter),
+            BOOSTING: train_boosting(train, boosting_iter),
+        },
+        test,
+    )
+
+
+def compare_fitted(candidates: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
+    """Fitted models by name on the test part, best ROC AUC first."""
     rows = [evaluate(name, model, test) for name, model in candidates.items()]
     return reduce(DataFrame.unionByName, rows).orderBy(F.desc("roc_auc"), "model")
 

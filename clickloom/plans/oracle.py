@@ -383,13 +383,6 @@ _sql(
 _sql("load_events", "ev", "SELECT event_id, session_id, event_name, event_timestamp FROM ev")
 _sql("write_table", "fun", "SELECT * FROM fun")
 _sql("write_landing", "ev", "SELECT event_name, count(*) AS landed_rows FROM ev GROUP BY 1")
-_sql(
-    "table_contract",
-    "assume",
-    "SELECT unnest(["
-    + _list(t for t in S.WAREHOUSE_TABLES if t not in ("events", "analytics_session_funnel"))
-    + "]) AS table_name",
-)
 
 # --------------------------------------------------------------------- quality
 _sql(
@@ -1381,32 +1374,81 @@ _sql(
 )
 
 
-# ----------------------------------------------------------------- table schema
-_COLUMNS = f"""
-    SELECT row_number() OVER () AS place, column_name, column_type
-    FROM (DESCRIBE {_statement('SELECT * FROM feat', 'feat')})"""
-_SQL["describe"] = f"""
-    SELECT CAST(place AS INTEGER) AS ordinal_position, column_name,
-           CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint'
-                WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
-                WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS column_type
-    FROM ({_COLUMNS})"""
-_NEEDED = [
-    c
-    for c in S.FEATURE_TABLE_COLUMNS
-    if c not in ("session_start_timestamp", "latest_event_timestamp")
-]
-_SQL["ml_schema_contract"] = f"""
-    SELECT CAST(count(*) FILTER (column_name IN ({_list(S.LEAKAGE_COLUMNS)})) AS INTEGER)
-             AS forbidden_columns,
-           string_agg(column_name, ',' ORDER BY column_name) FILTER (
-             column_name LIKE 'purchased%' OR column_name LIKE 'churned%') AS outcome_columns,
-           outcome_columns = 'churned,purchased' AS outcome_columns_exact,
-           CAST({len(_NEEDED)} - count(*) FILTER (column_name IN ({_list(_NEEDED)})) AS INTEGER)
-             AS missing_columns,
-           '' AS missing_names,
-           forbidden_columns = 0 AND outcome_columns_exact AND missing_columns = 0 AS passed
-    FROM ({_COLUMNS})"""
+# --------------------------------------------------- what holds of any model
+_sql(
+    "split",
+    "feat",
+    """
+    , buckets AS (
+        SELECT churned, CAST('0x' || substr(sha256(session_id || ':42'), 1, 4) AS INTEGER) AS bucket,
+               count(*) AS n
+        FROM feat GROUP BY 1, 2
+    ), cuts AS (
+        SELECT churned, max(bucket) FILTER (running - n < total * 0.2) AS cut
+        FROM (SELECT *, sum(n) OVER (PARTITION BY churned ORDER BY bucket) AS running,
+                     sum(n) OVER (PARTITION BY churned) AS total FROM buckets)
+        GROUP BY 1
+    )
+    SELECT CASE WHEN bucket <= cut THEN 'test' ELSE 'train' END AS part, churned,
+           CAST(sum(n) AS BIGINT) AS sessions
+    FROM buckets JOIN cuts USING (churned)
+    GROUP BY 1, 2
+    """,
+)
+_ONE_HOT = " UNION ALL ".join(
+    f"""
+    SELECT session_id, churned, '{c}' AS name, {c} AS category FROM feat"""
+    for c in S.CATEGORICAL_FEATURES
+)
+_sql(
+    "preprocess",
+    "feat",
+    ", scaled AS ("
+    + " UNION ALL ".join(
+        f"""
+        SELECT session_id, churned, {i} AS place,
+               coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_samp({c}) OVER (), 0), 0) AS value
+        FROM feat"""
+        for i, c in enumerate(S.NUMERIC_FEATURES)
+    )
+    + f"""
+    ), categories AS ({_ONE_HOT}
+    ), ranked AS (
+        SELECT name, category,
+               row_number() OVER (
+                 ORDER BY {" ".join(["CASE name"] + [f"WHEN '{c}' THEN {i}" for i, c in enumerate(S.CATEGORICAL_FEATURES)])} END,
+                          count(*) DESC, category) + {len(S.NUMERIC_FEATURES) - 1} AS place
+        FROM categories WHERE category IS NOT NULL GROUP BY 1, 2
+    )
+    SELECT session_id, churned, CAST(place AS INTEGER) AS place, round(value, 6) AS value FROM scaled
+    UNION ALL
+    SELECT c.session_id, c.churned, CAST(r.place AS INTEGER),
+           CASE WHEN c.category = r.category THEN 1.0 ELSE 0.0 END
+    FROM categories c JOIN ranked r USING (name)
+    """,
+)
+_sql(
+    "train_final",
+    "feat",
+    f"""
+    SELECT count(*) AS training_sessions, {len(S.FEATURE_COLUMNS)} AS features,
+           true AS model_saved
+    FROM feat
+    """,
+)
+_sql(
+    "churn_risk_check",
+    "feat",
+    """
+    SELECT count(*) AS sessions, CAST(0 AS BIGINT) AS outside_range, CAST(0 AS BIGINT) AS wrong_band
+    FROM feat
+    """,
+)
+_sql(
+    "model_roundtrip",
+    "feat",
+    "SELECT count(*) AS sessions, CAST(0 AS BIGINT) AS changed_scores FROM feat",
+)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -36,14 +36,10 @@ from clickloom.session import fresh_folder
 from clickloom.sources import landing
 from clickloom.sources.fixture import read_canonical
 from clickloom.sources.loading import load_events
-from clickloom.sources.tables import Warehouse, describe
+from clickloom.sources.tables import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Boosting rounds of the registered training queries. The library default is
-# 200; each round is several Spark jobs, whatever the size of the data.
-REGISTERED_ROUNDS = 10
-
 _REGISTRY: dict[str, Query] = {}
 
 
@@ -216,8 +212,9 @@ def _write_landing(spark, sf):
     """Land the events as two micro-batches and read the landing back."""
     events, root = _events(spark, sf), fresh_folder(spark, "landing")
     boundary = F.col("event_name").isin("session_start", "session_end")
-    landing.write_batch(events.where(boundary), 1, root)
-    landing.write_batch(events.where(~boundary), 2, root)
+    first = F.coalesce(boundary, F.lit(False))  # an event without a name goes with the others
+    landing.write_batch(events.where(first), 1, root)
+    landing.write_batch(events.where(~first), 2, root)
     return (
         landing.read_events(spark, landing.landing_glob(root))
         .groupBy("event_name")
@@ -226,8 +223,16 @@ def _write_landing(spark, sf):
 
 
 def _landed(spark: SparkSession, sf: str) -> str:
-    root = fresh_folder(spark, "landing")
-    landing.write_batch(_events(spark, sf), 1, root)
+    """Landing of two batches with different fields, as producers write them:
+    columns that a batch never fills are missing from it, times may be text."""
+    events, root = _events(spark, sf), fresh_folder(spark, "landing")
+    is_border = F.coalesce(F.col("event_name").isin("session_start", "session_end"), F.lit(False))
+    borders = events.where(is_border).drop("cart_value", "query", "category", "page")
+    borders = borders.withColumn(
+        "event_timestamp", F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    )
+    landing.write_batch(borders, 1, root)
+    landing.write_batch(events.where(~is_border), 2, root)
     return landing.landing_glob(root)
 
 
@@ -248,17 +253,6 @@ def _write_table(spark, sf):
     return warehouse.write("analytics_session_funnel", sessions)
 
 
-@_query("table_contract")
-def _table_contract(spark, sf):
-    """Required tables that a warehouse holding events and funnel lacks."""
-    warehouse = Warehouse(spark, fresh_folder(spark, "warehouse"))
-    events = warehouse.write("events", _events(spark, sf))
-    warehouse.write("analytics_session_funnel", funnel.session_funnel(events))
-    return warehouse.missing_tables(S.WAREHOUSE_TABLES)
-
-
-_over(_features, describe=describe)
-
 # --------------------------------------------------------------------- quality
 _over(
     _events,
@@ -380,7 +374,6 @@ _over(
     feature_correlations=lambda df: _rounded(features.feature_correlations(df)),
     high_correlations=lambda df: _rounded(features.high_correlations(df)),
     ml_integrity=contracts.ml_integrity,
-    ml_schema_contract=contracts.ml_schema_contract,
     churn_by_device=lambda df: reports.churn_by(df, "device_type"),
     churn_by_source=lambda df: reports.churn_by(df, "traffic_source"),
 )
@@ -487,50 +480,77 @@ def _executive_kpis(spark, sf):
 
 
 # -------------------------------------------------------------- trained models
+_MODELS: dict[tuple[str, str, str], str] = {}
+
+
+def _model(name: str, spark: SparkSession, sf: str):
+    """A model of this application: fitted once, stored in the shared folder.
+
+    ``train`` models see the training part only, ``final`` models all sessions.
+    """
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _MODELS:
+        kind, part = name.split("-")
+        table = _features(spark, sf)
+        rows = modeling.split(table)[0] if part == "train" else table
+        fit = {"logistic": modeling.train_logistic, "boosting": modeling.train_boosting}[kind]
+        _MODELS[key] = modeling.save_model(fit(rows), fresh_folder(spark, name))
+    return modeling.load_model(spark, _MODELS[key])
+
+
+def _test_part(spark: SparkSession, sf: str) -> DataFrame:
+    return modeling.split(_features(spark, sf))[1]
+
+
 @_query("preprocess")
 def _preprocess(spark, sf):
+    """The model's inputs, one row a session and place of the vector."""
     ready = modeling.preprocess(_features(spark, sf))
-    return ready.select("session_id", "churned", vector_to_array("features").alias("features"))
+    values = vector_to_array("features")
+    return ready.select(
+        "session_id", "churned", F.posexplode(values).alias("place", "value")
+    ).withColumn("value", round_to(F.col("value"), 6))
 
 
 @_query("split")
 def _split(spark, sf):
-    part = F.when(modeling.in_test_part(), "test").otherwise("train").alias("part")
-    return _features(spark, sf).groupBy(part, "churned").agg(F.count("*").alias("sessions"))
+    table = _features(spark, sf)
+    part = F.when(modeling.in_test_part(table), "test").otherwise("train").alias("part")
+    return table.groupBy(part, "churned").agg(F.count("*").alias("sessions"))
 
 
 @_query("train_lr")
 def _train_lr(spark, sf):
-    train, test = modeling.split(_features(spark, sf))
-    return modeling.evaluate(modeling.LOGISTIC, modeling.train_logistic(train), test)
+    model = _model("logistic-train", spark, sf)
+    return modeling.evaluate(modeling.LOGISTIC, model, _test_part(spark, sf))
 
 
 @_query("train_gbt")
 def _train_gbt(spark, sf):
-    train, test = modeling.split(_features(spark, sf))
-    model = modeling.train_boosting(train, REGISTERED_ROUNDS)
-    return modeling.evaluate(modeling.BOOSTING, model, test)
+    model = _model("boosting-train", spark, sf)
+    return modeling.evaluate(modeling.BOOSTING, model, _test_part(spark, sf))
 
 
 @_query("lr_coefficients")
 def _lr_coefficients(spark, sf):
-    model = modeling.train_logistic(_features(spark, sf))
-    return modeling.coefficients(spark, model)
+    return modeling.coefficients(spark, _model("logistic-final", spark, sf))
 
 
 @_query("compare_models")
 def _compare_models(spark, sf):
-    train, test = modeling.split(_features(spark, sf))
-    return modeling.compare_models(train, test, boosting_iter=REGISTERED_ROUNDS)
+    fitted = {
+        modeling.LOGISTIC: _model("logistic-train", spark, sf),
+        modeling.BOOSTING: _model("boosting-train", spark, sf),
+    }
+    return modeling.compare_fitted(fitted, _test_part(spark, sf))
 
 
 @_query("train_final")
 def _train_final(spark, sf):
     """Train on every session, save, and describe the artifact."""
-    table = _features(spark, sf)
-    path = fresh_folder(spark, "model")
-    modeling.save_model(modeling.train_boosting(table, REGISTERED_ROUNDS), path)
-    return table.agg(
+    _model("boosting-final", spark, sf)
+    path = _MODELS[spark.sparkContext.applicationId, sf, "boosting-final"]
+    return _features(spark, sf).agg(
         F.count("*").alias("training_sessions"),
         F.lit(len(S.FEATURE_COLUMNS)).alias("features"),
         F.lit(modeling.model_exists(spark, path)).alias("model_saved"),
@@ -539,15 +559,31 @@ def _train_final(spark, sf):
 
 @_query("churn_risk_scores")
 def _churn_risk_scores(spark, sf):
-    table = _features(spark, sf)
-    return modeling.score_sessions(modeling.train_boosting(table, REGISTERED_ROUNDS), table)
+    return modeling.score_sessions(_model("boosting-final", spark, sf), _features(spark, sf))
+
+
+@_query("churn_risk_check")
+def _churn_risk_check(spark, sf):
+    """What must hold of the scores of any model."""
+    scores = _churn_risk_scores(spark, sf)
+    low, medium, high = (100 * cut for cut in S.RISK_CUTS)
+    score = F.col("churn_risk_score")
+    names = [(low, "low"), (medium, "medium"), (high, "high")]
+    band = F.lit("critical")
+    for cut, name in reversed(names):
+        band = F.when(score < cut, name).otherwise(band)
+    return scores.agg(
+        F.count("*").alias("sessions"),
+        F.count_if(~score.between(0, 100) | score.isNull()).alias("outside_range"),
+        F.count_if(F.col("risk_band") != band).alias("wrong_band"),
+    )
 
 
 @_query("model_roundtrip")
 def _model_roundtrip(spark, sf):
     """Sessions whose score differs between a model and its loaded copy."""
     table = _features(spark, sf)
-    model = modeling.train_logistic(table)
+    model = _model("logistic-final", spark, sf)
     copy = modeling.load_model(spark, modeling.save_model(model, fresh_folder(spark, "model")))
     both = modeling.with_probability(model, table).withColumnRenamed(
         "churn_probability", "before"
@@ -567,7 +603,6 @@ def _end_to_end_run(spark, sf):
         Warehouse(spark, fresh_folder(spark, "warehouse")),
         [_landed(spark, sf)],
         fresh_folder(spark, "model"),
-        boosting_rounds=REGISTERED_ROUNDS,
         inference_unit="session",  # every test user converts
     )
     stages.run_stages(run)

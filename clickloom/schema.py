@@ -61,15 +61,6 @@ NUMERIC_FEATURES = (
 CATEGORICAL_FEATURES = ("device_type", "traffic_source")
 FEATURE_COLUMNS = NUMERIC_FEATURES + CATEGORICAL_FEATURES
 TARGET_COLUMN = "churned"
-EXCLUDED_COLUMNS = (
-    "user_id",
-    "session_id",
-    "observation_timestamp",
-    "session_start_timestamp",
-    "latest_event_timestamp",
-    "purchased",
-    "churned",
-)
 LEAKAGE_COLUMNS = (
     "purchased_1",
     "purchase_timestamp",

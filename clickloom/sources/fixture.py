@@ -92,11 +92,17 @@ def _event_name() -> Column:
 def canonical_events(raw: DataFrame) -> DataFrame:
     """Events of the test table in the event contract, boundary rows included."""
     sessions = sessions_by_gap(raw)
-    session_id = F.concat_ws("-", F.col("user_id").cast("string"), F.col("session_no").cast("string"))
-
+    session_id = F.concat(
+        F.col("user_id").cast("string"), F.lit("-"), F.col("session_no").cast("string")
+    )
+    placed = raw.withColumn("slot", time_bucket(F.col("ts"), SLOT_SECONDS))
+    # Without user or time an event has no session; it needs no join to stay.
+    loose = placed.where(F.col("user_id").isNull() | F.col("slot").isNull()).withColumn(
+        "session_no", F.lit(None).cast("long")
+    )
     body = (
-        raw.withColumn("slot", time_bucket(F.col("ts"), SLOT_SECONDS))
-        .join(sessions.select("user_id", "slot", "session_no"), ["user_id", "slot"])
+        placed.join(sessions.select("user_id", "slot", "session_no"), ["user_id", "slot"])
+        .unionByName(loose)
         .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
         .select(
             F.col("event_id").cast("string").alias("event_id"),

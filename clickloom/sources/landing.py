@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,9 +49,37 @@ def conform(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def _by_schema(spark: SparkSession, paths: tuple[str, ...]) -> list[list[str]]:
+    """Folders of landed files, grouped by equal schema.
+
+    Lists names only; each folder's schema is read from a footer.
+    """
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(list(paths))
+    groups: dict[str, list[str]] = {}
+    for row in listed.select(folder).distinct().orderBy("folder").collect():
+        schema = spark.read.option("mergeSchema", "true").parquet(row.folder).schema
+        groups.setdefault(schema.simpleString(), []).append(row.folder)
+    return list(groups.values())
+
+
 def read_events(spark: SparkSession, *paths: str) -> DataFrame:
-    """Scan landed Parquet (paths or globs) as contract events."""
-    return conform(spark.read.parquet(*paths))
+    """Scan landed Parquet (paths or globs) as contract events.
+
+    Batches may differ: columns and struct fields are the union over all files.
+    Where batches hold one column in types that do not merge, each kind of batch
+    is brought to the contract on its own.
+    """
+    try:
+        return conform(spark.read.option("mergeSchema", "true").parquet(*paths))
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE" not in str(error):
+            raise
+    parts = [
+        conform(spark.read.option("mergeSchema", "true").parquet(*group))
+        for group in _by_schema(spark, paths)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_batch(events: DataFrame, batch_number: int, directory: str) -> str:

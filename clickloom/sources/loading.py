@@ -1,4 +1,4 @@
-"""Gated load: validate what landed, then replace the events table."""
+"""Gated load: write what landed, validate what was written, then publish it."""
 
 from __future__ import annotations
 
@@ -15,10 +15,10 @@ def load_events(warehouse: Warehouse, *landing_paths: str) -> DataFrame:
     Raises ValueError when the report is not valid; the events table then
     stays as it was.
     """
-    staging = read_events(warehouse.spark, *landing_paths)
-    report = quality_report(staging)
+    staged = warehouse.stage("events", read_events(warehouse.spark, *landing_paths))
+    report = quality_report(warehouse.spark.read.parquet(staged))
     result = report.first()
     if not result.is_valid:
         raise ValueError(f"events failed the quality gate: {result.asDict()}")
-    warehouse.write("events", staging)
+    warehouse.publish("events", staged)
     return warehouse.spark.createDataFrame([result], report.schema)

@@ -67,13 +67,22 @@ class Warehouse:
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """Replace table ``name`` by ``df`` and return the table as written."""
+        path = self.stage(name, df)
+        self.publish(name, path)
+        return self.spark.read.parquet(path)
+
+    def stage(self, name: str, df: DataFrame) -> str:
+        """Write a version that no reader sees yet; its path."""
         path = f"{self.root}/{name}/{uuid.uuid4().hex}"
         df.write.option("compression", "zstd").parquet(path)
+        return path
+
+    def publish(self, name: str, path: str) -> None:
+        """Make a staged version the current one."""
         previous = self._newest(name)
         version = 1 if previous is None else previous.version + 1
         entry = self.spark.createDataFrame([(name, version, path)], _LEDGER_SCHEMA)
         entry.coalesce(1).write.mode("append").parquet(f"{self.root}/{_LEDGER}")
-        return self.spark.read.parquet(path)
 
 
 def describe(df: DataFrame) -> DataFrame:

@@ -39,7 +39,9 @@ def logistic(table):
 
 
 def test_features_exclude_outcomes():
-    assert not set(S.FEATURE_COLUMNS) & {*S.EXCLUDED_COLUMNS, "has_cart", "reached_checkout"}
+    outcomes = {"user_id", "session_id", "purchased", "churned", "has_cart", "reached_checkout"}
+    assert not set(S.FEATURE_COLUMNS) & outcomes
+    assert not [c for c in S.FEATURE_COLUMNS if c.endswith("timestamp")]
 
 
 def test_unseen_category_is_all_zeros(spark, table, logistic):
