@@ -1,43 +1,54 @@
 """Exact ranks of probabilities without a global sort.
 
-Distinct scores are counted, placed into buckets of equal log-odds width, and
-ranked inside their bucket; the counts below a bucket come from a summary of
-at most 4,096 rows. The bucket depends on the score alone, so every use of a
-score lands in the same bucket.
+Distinct scores are counted, placed into buckets that hold about equal numbers
+of distinct scores, and ranked inside their bucket; the counts below a bucket
+come from a summary with one row a bucket. The cut points are quantiles of the
+distinct scores, so scores that crowd in a narrow band spread over buckets like
+any others. The bucket depends on the score alone; cut points decide how work
+is spread and never a rank.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_HALF = 2_048
-_PER_LOGIT = 64
+BUCKETS = 1_024
 
 
-def _bucket(p: Column) -> Column:
-    logit = F.ln(F.try_divide(p, F.lit(1.0) - p))
-    inside = F.greatest(
-        F.lit(-_HALF), F.least(F.lit(_HALF - 1), F.floor(logit * _PER_LOGIT))
+def _cut_points(steps: DataFrame) -> list[float]:
+    """At most ``BUCKETS`` - 1 ascending scores."""
+    shares = [i / BUCKETS for i in range(1, BUCKETS)]
+    row = steps.where(~F.isnan("score")).agg(
+        F.percentile_approx("score", shares, 16 * BUCKETS).alias("cuts")
     )
-    return F.when(p <= 0, F.lit(-_HALF)).when(p >= 1, F.lit(_HALF - 1)).otherwise(inside)
+    return sorted(set(row.first()["cuts"] or []))
+
+
+def _with_bucket(steps: DataFrame) -> DataFrame:
+    """``bucket`` of each score; NaN has the last one for itself."""
+    splits = [float("-inf"), *(_cut_points(steps) or [0.5]), float("inf")]
+    by_cut = Bucketizer(
+        splits=splits, inputCol="score", outputCol="bucket", handleInvalid="keep"
+    )
+    return by_cut.transform(steps).withColumn("bucket", F.col("bucket").cast("int"))
 
 
 def score_ladder(df: DataFrame, score: str, label: str) -> DataFrame:
     """One row per distinct score: rows ``n``, positives ``pos``, how many of
     each lie below it (``n_below``, ``pos_below``), and totals over all."""
-    steps = (
+    steps = _with_bucket(
         df.where(F.col(score).isNotNull())
-        .groupBy(F.col(score).alias("score"))
+        .groupBy(F.col(score).cast("double").alias("score"))
         .agg(
             F.count("*").alias("n"),
             F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("pos"),
         )
-        .withColumn("bucket", _bucket(F.col("score")).cast("int"))
     )
     below = Window.unboundedPreceding, -1
     in_bucket = Window.partitionBy("bucket").orderBy("score").rowsBetween(*below)
-    earlier = Window.orderBy("bucket").rowsBetween(*below)  # <= 4,096 rows
+    earlier = Window.orderBy("bucket").rowsBetween(*below)  # one row a bucket
     everything = Window.partitionBy()
     sums = steps.groupBy("bucket").agg(F.sum("n").alias("bn"), F.sum("pos").alias("bpos"))
     offsets = sums.select(
@@ -51,7 +62,7 @@ def score_ladder(df: DataFrame, score: str, label: str) -> DataFrame:
     return (
         steps.withColumn("n_in", F.coalesce(F.sum("n").over(in_bucket), zero))
         .withColumn("pos_in", F.coalesce(F.sum("pos").over(in_bucket), zero))
-        .join(F.broadcast(offsets), "bucket")  # one row per bucket, 4,096 at most
+        .join(F.broadcast(offsets), "bucket")  # BUCKETS + 1 rows at most
         .select(
             "score",
             "n",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom import schema as S
 from clickloom.functions.columns import distribution, round_to
+from clickloom.session import fresh_folder
 
 ECONOMICS_COLUMNS = (
     "user_id",
@@ -159,6 +160,7 @@ def top_opportunities(economics: DataFrame, limit: int = 10) -> DataFrame:
 
 
 # ------------------------------------------------------------------- portfolio
+IN_ONE_TASK = 100_000  # rows that one task may rank
 _PORTFOLIO_ORDER = (
     "business_priority_score",
     "expected_net_value",
@@ -171,11 +173,16 @@ def intervention_portfolio(
 ) -> DataFrame:
     """The ``capacity`` most valuable recoveries, ranked from 1.
 
-    Sort and limit plan as a distributed top-k; the ranking window sees the
-    selected rows only. Equal values are ordered by session_id.
+    Up to ``IN_ONE_TASK`` rows, sort and limit plan as a distributed top-k and
+    the ranking window sees the selected rows only. A larger portfolio is
+    sorted by range, written, and numbered inside each partition; the counts
+    of the partitions before it are added. Equal values are ordered by
+    session_id.
     """
     if capacity < 1:
         raise ValueError("capacity must be at least 1")
+    if capacity > IN_ONE_TASK:
+        return _ranked_by_range(economics, capacity)
     order = [F.desc(c) for c in _PORTFOLIO_ORDER] + [F.asc("session_id")]
     chosen = (
         economics.where(F.col("recommended_action").isin(*S.RECOVERY_ACTIONS))
@@ -186,6 +193,29 @@ def intervention_portfolio(
     return chosen.select(rank.alias("portfolio_rank"), *ECONOMICS_COLUMNS)
 
 
+def _ranked_by_range(economics: DataFrame, capacity: int) -> DataFrame:
+    order = [F.desc(c) for c in _PORTFOLIO_ORDER] + [F.asc("session_id")]
+    spark, path = economics.sparkSession, fresh_folder(economics.sparkSession, "portfolio")
+    (
+        economics.where(F.col("recommended_action").isin(*S.RECOVERY_ACTIONS))
+        .orderBy(*order)
+        .select(F.monotonically_increasing_id().alias("_place"), *ECONOMICS_COLUMNS)
+        .write.parquet(path)
+    )
+    # The upper bits of the place are the partition, the lower 33 the row in it.
+    placed = spark.read.parquet(path).withColumn("_part", F.shiftright("_place", 33))
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        placed.join(offsets, "_part")
+        .withColumn("portfolio_rank", F.col("_before") + inside + 1)
+        .where(F.col("portfolio_rank") <= capacity)
+        .select("portfolio_rank", *ECONOMICS_COLUMNS)
+    )
+
+
 def portfolio_by_action(portfolio: DataFrame) -> DataFrame:
     return (
         portfolio.groupBy("recommended_action")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 _DEFAULTS = {
@@ -19,11 +20,17 @@ _LOCAL_FOLDERS: dict[str, str] = {}  # of local sessions without a shared folder
 
 
 def build_session(app_name: str = "clickloom", master: str | None = None, **conf) -> SparkSession:
-    """A session with AQE on; the cluster's own settings win where it has them."""
+    """A session with AQE on.
+
+    Settings that the cluster or spark-submit gives win over the defaults here;
+    ``conf`` wins over both.
+    """
+    given = {key for key, _ in SparkConf().getAll()}
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**_DEFAULTS, **conf}.items():
+    defaults = {k: v for k, v in _DEFAULTS.items() if k not in given}
+    for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,11 +17,16 @@ from clickloom import schema as S
 from clickloom.functions.columns import any_null, is_event, seconds_between
 from clickloom.operators.funnel import with_reached_flags
 from clickloom.operators.quality import quality_report
+from clickloom.sources.landing import conform
 
 
 def landing_stream(spark: SparkSession, landing_glob: str) -> DataFrame:
-    """New event files of the landing as a stream under the event contract."""
-    return spark.readStream.schema(S.EVENT_SCHEMA).parquet(landing_glob)
+    """New event files of the landing as a stream under the event contract.
+
+    A column that a file lacks is NULL there; columns beyond the contract are
+    not read.
+    """
+    return conform(spark.readStream.schema(S.EVENT_SCHEMA).parquet(landing_glob))
 
 
 _CLOCK = "_event_time"
@@ -66,24 +72,39 @@ def row_is_valid() -> Column:
     return F.coalesce(reduce(lambda a, b: a & b, rules), F.lit(False))
 
 
+def _accepted_before(spark: SparkSession, accepted: str, number: int) -> DataFrame:
+    """Ids accepted by batches other than this one."""
+    try:
+        stored = spark.read.parquet(accepted)
+    except AnalysisException:  # nothing accepted yet
+        return spark.createDataFrame([], "event_id string")
+    return stored.where(F.col("batch") != number).select("event_id")
+
+
 def gated_load(
     stream: DataFrame, accepted: str, quarantine: str, reports: str, checkpoint: str
 ) -> StreamingQuery:
     """Quality gate per micro-batch.
 
-    Rows that keep the rules are accepted. Rows that break one, and all rows
-    of an id that occurs more than once in the batch, go to quarantine. The
-    batch's report is stored beside them. Each batch writes to folders of its
-    own number and replaces them when it is retried.
+    Rows that keep the rules are accepted. Rows that break one, all rows of an
+    id that occurs more than once in the batch, and rows of an id that an
+    earlier batch has had accepted go to quarantine. The batch's report is
+    stored beside them. Each batch writes to folders of its own number and
+    replaces them when it is retried; it is read once.
     """
 
     def take(batch: DataFrame, number: int) -> None:
         def store(df: DataFrame, root: str) -> None:
             df.write.mode("overwrite").parquet(f"{root}/batch={number}")
 
+        batch.persist()
         repeated = (
             batch.groupBy("event_id").count().where("count > 1").select("event_id")
         )
+        earlier = _accepted_before(batch.sparkSession, accepted, number)
+        repeated = repeated.union(
+            earlier.join(batch.select("event_id"), "event_id", "left_semi").distinct()
+        )
         marked = batch.withColumn("is_valid", row_is_valid())
         good = marked.where("is_valid").drop("is_valid").join(repeated, "event_id", "left_anti")
         twice = marked.where("is_valid").drop("is_valid").join(repeated, "event_id", "left_semi")
@@ -91,6 +112,7 @@ def gated_load(
         store(quality_report(batch), reports)
         store(good, accepted)
         store(bad.unionByName(twice), quarantine)
+        batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(take)
@@ -104,17 +126,27 @@ def rolling_funnel(
     stream: DataFrame, gap: str = "30 minutes", lateness: str = "1 hour"
 ) -> DataFrame:
     """Session funnel of sessions that ended: quiet for ``gap`` and past the
-    watermark. Append mode; a session appears once, when it is closed."""
+    watermark. Append mode; one row a session, when it is closed.
+
+    Every event of a session keeps it open, not only those of the funnel, and
+    whoever sent them; the row names the user of the session's first funnel
+    event. Sessions without a funnel event give no row. A session that is quiet
+    for longer than ``gap`` and then goes on is two sessions here.
+    """
     at = F.col("event_timestamp")
+    in_funnel = F.col("event_name").isin(*S.FUNNEL_STEPS)
+    first = F.min(F.when(in_funnel, F.struct(at, F.col("event_id"), F.col("user_id"))))
     return with_reached_flags(
         _clocked(stream, lateness)
-        .where(F.col("event_name").isin(*S.FUNNEL_STEPS))
-        .groupBy(F.session_window(_CLOCK, gap), "session_id", "user_id")
+        .groupBy(F.session_window(_CLOCK, gap), "session_id")
         .agg(
+            first.alias("first"),
             *[
                 F.min(F.when(is_event(step), at)).alias(f"{step}_at")
                 for step in S.FUNNEL_STEPS
-            ]
+            ],
         )
-        .drop("session_window")
+        .where(F.col("first").isNotNull())
+        .withColumn("user_id", F.col("first.user_id"))
+        .drop("session_window", "first")
     )

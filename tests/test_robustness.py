@@ -191,3 +191,72 @@ def test_split_holds_the_share_of_each_label(spark):
     counts = dict(rows(test.groupBy("churned").count()))
     assert abs(counts[0] - 720) <= 3 and abs(counts[1] - 80) <= 3
     assert rows(modeling.split(table)[1]) == rows(test)
+
+
+# ---------------------------------------------------------- ranks and portfolio
+def test_crowded_scores_spread_over_buckets(spark):
+    from clickloom.functions import ladder
+
+    df = spark.range(50_000).select(
+        (0.75 + F.col("id") * 4e-8).alias("p"), (F.col("id") % 3 == 0).cast("int").alias("y")
+    )
+    steps = ladder._with_bucket(df.select(F.col("p").alias("score")).distinct())
+    most = steps.groupBy("bucket").count().agg(F.max("count")).first()[0]
+    assert most <= 50_000 / ladder.BUCKETS * 3
+    ranks = ladder.score_ladder(df, "p", "y")
+    assert ranks.where((F.col("n_below") != F.round((F.col("score") - 0.75) / 4e-8)) | (F.col("n") != 1)).isEmpty()
+
+
+def test_portfolio_of_any_capacity(spark, monkeypatch):
+    from clickloom import schema as S
+    from clickloom.operators import interventions
+
+    action = S.RECOVERY_ACTIONS[0]
+    base = spark.range(3000).select(
+        F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("session_id"),
+        F.lit(action).alias("recommended_action"),
+        (F.col("id") % 7).alias("business_priority_score"),
+        (F.col("id") % 11).cast("double").alias("expected_net_value"),
+        (F.col("id") % 5).cast("double").alias("churn_risk_score"),
+    )
+    missing = [c for c in interventions.ECONOMICS_COLUMNS if c not in base.columns]
+    table = base.select("*", *[F.lit(1.0).alias(c) for c in missing])
+    want = rows(interventions.intervention_portfolio(table, 2000), "portfolio_rank", "session_id")
+    monkeypatch.setattr(interventions, "IN_ONE_TASK", 10)
+    got = interventions.intervention_portfolio(table.repartition(9), 2000)
+    assert rows(got, "portfolio_rank", "session_id") == want
+
+
+# ------------------------------------------------------------------- streaming
+def test_stream_gate_refuses_ids_of_earlier_batches(spark, folder):
+    from clickloom.streaming import incremental
+
+    for number in (1, 2):
+        data = [("s", "u", "10:00:00", "search"), ("s", "u", "10:01:00", "search")][: 3 - number]
+        landing.write_batch(make_events(spark, data), number, f"{folder}/in")
+        stream = incremental.landing_stream(spark, landing.landing_glob(f"{folder}/in"))
+        incremental.gated_load(
+            stream, f"{folder}/ok", f"{folder}/bad", f"{folder}/reports", f"{folder}/cp"
+        ).awaitTermination(120)
+    assert rows(spark.read.parquet(f"{folder}/ok"), "event_id", "batch") == [("e00000", 0), ("e00001", 0)]
+    assert rows(spark.read.parquet(f"{folder}/bad"), "event_id", "batch") == [("e00000", 1)]
+
+
+def test_stream_funnel_keeps_a_session_in_one_row(spark, folder):
+    from clickloom.streaming import incremental
+
+    session = [
+        ("s", "u", "10:00:00", "homepage_view"),
+        ("s", "v", "10:20:00", "product_view"),
+        ("s", "u", "10:40:00", "product_view"),
+        ("s", "u", "11:00:00", "purchase_complete"),
+    ]
+    later = [("late", "u9", "18:00:00", "homepage_view")]
+    for number, batch in enumerate((session, later, later), start=1):
+        landing.write_batch(make_events(spark, batch), number, f"{folder}/in")
+        stream = incremental.landing_stream(spark, landing.landing_glob(f"{folder}/in"))
+        incremental.append_events(
+            incremental.rolling_funnel(stream), f"{folder}/out", f"{folder}/cp"
+        ).awaitTermination(120)
+    got = spark.read.parquet(f"{folder}/out")
+    assert rows(got, "session_id", "user_id", "funnel_outcome") == [("s", "u", "purchased")]
