@@ -37,7 +37,8 @@ MOST_PASSES = 3
 DIGIT_BITS = 12  # 4096 cells a level
 LEVELS = 5  # three digits of the document, two of its place (for repeated rows)
 FILLS = 2
-SHARD_DEPTH = 5  # 32 output shards
+LEAST_DEPTH, MOST_DEPTH = 5, 14  # 32 to 16,384 output shards
+SHARD_DOCS = 20_000  # documents of a shard, between these bounds
 MAX_PLAN_MB = 16  # a larger plan is joined by a shuffle with salt
 SALT = 32
 
@@ -187,7 +188,7 @@ def fill_gaps(rows: DataFrame, planned: DataFrame) -> DataFrame:
     return planned
 
 
-def deal(planned: DataFrame, depth: int = SHARD_DEPTH) -> DataFrame:
+def deal(planned: DataFrame, depth: int) -> DataFrame:
     """The splitting tree: ``ends`` of each source's draws by shard.
 
     Shard i takes the draws [ends[i - 1], ends[i]) of the source.
@@ -256,7 +257,13 @@ def _with_plan(rows: DataFrame, plan: DataFrame, depth: int) -> DataFrame:
     )
 
 
-def plan_of(rows: DataFrame, depth: int = SHARD_DEPTH) -> DataFrame:
+def depth_for(rows: DataFrame) -> int:
+    """Depth of the tree: shards of about ``SHARD_DOCS`` documents."""
+    shards = max(1, -(-rows.count() // SHARD_DOCS))
+    return min(MOST_DEPTH, max(LEAST_DEPTH, (shards - 1).bit_length()))
+
+
+def plan_of(rows: DataFrame, depth: int) -> DataFrame:
     """One row a source: target, passes, end of the last pass, shard ends."""
     sources = rows.groupBy("key").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")
@@ -265,7 +272,7 @@ def plan_of(rows: DataFrame, depth: int = SHARD_DEPTH) -> DataFrame:
     return stored(deal(fill_gaps(rows, find_cuts(rows, planned)), depth), "mix-plan")
 
 
-def with_shards(rows: DataFrame, plan: DataFrame, depth: int = SHARD_DEPTH) -> DataFrame:
+def with_shards(rows: DataFrame, plan: DataFrame, depth: int) -> DataFrame:
     """Rows with ``shards``: the output shard of each time the row is taken."""
     joined = _with_plan(rows, plan, depth)
     block = F.expr(f"shiftright(digits[0], {DIGIT_BITS} - block_bits)")
@@ -299,9 +306,10 @@ def with_shards(rows: DataFrame, plan: DataFrame, depth: int = SHARD_DEPTH) -> D
     )
 
 
-def mix(docs: DataFrame, depth: int = SHARD_DEPTH) -> DataFrame:
+def mix(docs: DataFrame, depth: int | None = None) -> DataFrame:
     """doc_id, size, source_size, target, taken and shards of every document."""
     rows = stored(sized(docs), "mix-sizes")
+    depth = depth_for(rows) if depth is None else depth
     return with_shards(rows, plan_of(rows, depth), depth).select(
         "doc_id",
         "size",
@@ -312,12 +320,16 @@ def mix(docs: DataFrame, depth: int = SHARD_DEPTH) -> DataFrame:
     )
 
 
-def mixed(docs: DataFrame, depth: int = SHARD_DEPTH) -> DataFrame:
+def mixed(docs: DataFrame, depth: int | None = None) -> DataFrame:
     """The mix itself: documents with all columns, once for each time taken.
 
-    Each shard is shuffled on its own; rows of one shard follow each other.
+    Each shard is shuffled on its own; rows of one shard follow each other. The
+    input is read twice and should be a stored table: a row that repeats is
+    known by its place in it.
     """
-    plan = plan_of(stored(sized(docs), "mix-sizes"), depth)
+    sizes = stored(sized(docs), "mix-sizes")
+    depth = depth_for(sizes) if depth is None else depth
+    plan = plan_of(sizes, depth)
     rows = with_shards(sized(docs, with_text=True), plan, depth)
     drawn = rows.select("whole", "row", F.posexplode("shards").alias("time", "shard"))
     return (
