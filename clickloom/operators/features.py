@@ -240,11 +240,59 @@ def _cutoff(folded: DataFrame) -> DataFrame:
     )
 
 
+def _with_last_seen(events: DataFrame) -> DataFrame:
+    """Events up to the cutoff of sessions that fit into one task.
+
+    Purchase time and cutoff (``last``) come from windows over the session, so
+    the rows are shuffled and sorted once. Equal times are decided by user,
+    device and source.
+    """
+    together = Window.partitionBy("session_id")
+    at, bought = F.col("event_timestamp"), F.coalesce(is_event("purchase_complete"), F.lit(False))
+    bought_at, last = F.col("purchase_timestamp"), F.col("last")
+    place = F.struct(
+        at.alias("observation_timestamp"), "user_id", "device_type", "traffic_source"
+    )
+    before = ~bought & (bought_at.isNull() | (at < bought_at))
+    return (
+        events.where(F.col("session_id").isNotNull() & at.isNotNull())
+        .select(
+            "session_id",
+            _user_key().alias("user_id"),
+            "device_type",
+            "traffic_source",
+            "event_name",
+            "event_timestamp",
+        )
+        .withColumn("purchase_timestamp", F.min(F.when(bought, at)).over(together))
+        .withColumn("last", F.max(F.when(before & ~_is_extra(), place)).over(together))
+        .where(before & (at <= last["observation_timestamp"]))
+    )
+
+
+def _parts(
+    events: DataFrame, hot: Sequence[str] | None
+) -> tuple[DataFrame, DataFrame | None, Sequence[str]]:
+    """Events of ordinary sessions, of hot ones (None if none is), hot keys."""
+    hot = hot_keys(events, "session_id") if hot is None else hot
+    if not hot:
+        return events, None, hot
+    return events.where(~is_hot("session_id", hot)), events.where(is_hot("session_id", hot)), hot
+
+
 def observation_cutoff(
     events: DataFrame, hot: Sequence[str] | None = None, seconds: int = SEGMENT_SECONDS
 ) -> DataFrame:
     """Per session the last observable event: time, user, device and source."""
-    cutoff = _cutoff(_folded(events, hot, seconds))
+    ordinary, split, hot = _parts(events, hot)
+    cutoff = (
+        _with_last_seen(ordinary)
+        .groupBy("session_id")
+        .agg(F.max("last").alias("last"))
+        .select("session_id", *[F.col(f"last.{f}") for f in _CUTOFF_FIELDS])
+    )
+    if split is not None:
+        cutoff = cutoff.unionByName(_cutoff(_folded(split, hot, seconds)))
     return cutoff.withColumn("user_id", _user_of("user_id"))
 
 
@@ -255,28 +303,68 @@ def churn_features(
 
     Up to the cutoff lie exactly the observed events plus any session_end not
     later than it (every other event before the cutoff is before the purchase
-    too), so the features come from the folded events. Rows of another user
-    than the cutoff's do not count.
+    too). Rows of another user than the cutoff's do not count. Ordinary sessions
+    need one shuffle, by session; hot ones are folded by segment first.
     """
+    ordinary, split, hot = _parts(events, hot)
+    features = _features_by_name(_counts_of_whole_sessions(ordinary))
+    if split is None:
+        return features
+    return features.unionByName(_features_by_name(_counts_of_split_sessions(split, hot, seconds)))
+
+
+_FEATURE_KEYS = ("session_id", *_CUTOFF_FIELDS)
+
+
+def _counts_of_whole_sessions(events: DataFrame) -> DataFrame:
+    """Counts per session, cutoff and event name from one shuffle."""
+    at, last = F.col("event_timestamp"), F.col("last")
+    return (
+        _with_last_seen(events)
+        .where(F.col("user_id") == last["user_id"])
+        .groupBy("session_id", "last", "event_name")
+        .agg(
+            F.count("*").alias("n"),
+            F.min(at).alias("first_ts"),
+            F.max(at).alias("last_ts"),
+            F.max("purchase_timestamp").alias("purchase_timestamp"),
+        )
+        .select(
+            "session_id",
+            *[last[f].alias(f) for f in _CUTOFF_FIELDS],
+            "event_name",
+            "n",
+            "first_ts",
+            "last_ts",
+            "purchase_timestamp",
+        )
+    )
+
+
+def _counts_of_split_sessions(events: DataFrame, hot: Sequence[str], seconds: int) -> DataFrame:
+    """The same from events folded by segment."""
     folded = _folded(events, hot, seconds)
     cutoff = _cutoff(folded)
-    keys = ["session_id", *_CUTOFF_FIELDS]
     contested = F.col("contested_at")
-    by_name = (
+    return (
         folded.drop("device_type", "traffic_source")
         .join(cutoff, ["session_id", "user_id"])
         .where(contested.isNull() | (contested <= F.col("observation_timestamp")))
-        .groupBy(*keys, "event_name")
+        .groupBy(*_FEATURE_KEYS, "event_name")
         .agg(*_merged())
     )
 
+
+def _features_by_name(by_name: DataFrame) -> DataFrame:
+    """Feature rows from counts per session, cutoff and event name."""
+
     def times(name: str) -> Column:
         return F.sum(F.when(is_event(name), F.col("n")).otherwise(0)).cast("long")
 
     start, latest = F.min("first_ts"), F.max("last_ts")
     purchased = flag(F.max("purchase_timestamp").isNotNull())
     return (
-        by_name.groupBy(*keys)
+        by_name.groupBy(*_FEATURE_KEYS)
         .agg(
             purchased.alias("purchased"),
             F.sum("n").alias("total_actions_so_far"),

@@ -6,6 +6,8 @@ and a final SELECT. The statements are written for clarity, not for scale.
 
 from __future__ import annotations
 
+import re
+
 from clickloom import schema as S
 from clickloom.functions.stats import critical_value
 from clickloom.sources.fixture import CART_EVENTS, PERSONAS, SESSION_GAP_SECONDS, TRAFFIC_SOURCES
@@ -362,7 +364,11 @@ def _statement(final: str, *needs: str) -> str:
 _SQL: dict[str, str] = {}
 
 
+_FINAL: dict[str, str] = {}  # the last SELECT of each
+
+
 def _sql(name: str, needs: str, final: str) -> None:
+    _FINAL[name] = final
     _SQL[name] = _statement(final, *needs.split())
 
 
@@ -1374,6 +1380,50 @@ _sql(
 )
 
 
+# ------------------------------------------------------------- damaged tables
+# By table the damaged columns, each with the first character of
+# the sessions it is damaged in and the value put there. Sessions that end in -1
+# are missing, those in -2 are there twice, those in -3 also under another name.
+DAMAGE = {
+    "score": {
+        "risk_band": ("1", "'none'"),
+        "churn_risk_score": ("2", "101.0"),
+        "churn_probability": ("3", "NULL"),
+    },
+    "cand": {"recommended_action": ("1", "'none'"), "intervention_priority": ("2", "'none'")},
+    "roi": {"intervention_cost": ("1", "-1.0"), "roi_pct": ("2", "NULL")},
+}
+
+
+def damaged_value(table: str, column: str) -> str:
+    """SQL of a damaged column, for both engines."""
+    start, value = DAMAGE[table][column]
+    return f"CASE WHEN session_id LIKE '{start}%' THEN {value} ELSE {column} END"
+
+
+for _table, _columns in DAMAGE.items():
+    _replaced = ", ".join(f"{damaged_value(_table, c)} AS {c}" for c in _columns)
+    _fragment(
+        f"{_table}_damaged",
+        (_table,),
+        f"""
+        SELECT * REPLACE ({_replaced})
+        FROM (SELECT * FROM {_table} WHERE session_id NOT LIKE '%-1'
+              UNION ALL SELECT * FROM {_table} WHERE session_id LIKE '%-2'
+              UNION ALL SELECT * REPLACE ('X' || session_id AS session_id) FROM {_table}
+                        WHERE session_id LIKE '%-3')
+        """,
+    )
+for _name, _needs, _table in (
+    ("session_reconciliation", "feat score", "score"),
+    ("score_contract", "feat score", "score"),
+    ("candidate_contract", "score cand assume", "cand"),
+    ("roi_contract", "port roi", "roi"),
+):
+    _final = re.sub(rf"\b{_table}\b", f"{_table}_damaged", _FINAL[_name])
+    _sql(f"damaged_{_name}", f"{_needs} {_table}_damaged", _final)
+
+
 # --------------------------------------------------- what holds of any model
 _sql(
     "split",

@@ -32,6 +32,7 @@ from clickloom.operators import (
     velocity,
 )
 from clickloom.plans import stages
+from clickloom.plans.oracle import DAMAGE, damaged_value
 from clickloom.session import fresh_folder
 from clickloom.sources import landing
 from clickloom.sources.fixture import read_canonical
@@ -461,6 +462,43 @@ def _roi_contract(spark, sf):
     return contracts.roi_contract(_portfolio(spark, sf), _roi(spark, sf))
 
 
+def _damaged(table: str, df: DataFrame) -> DataFrame:
+    """A copy with sessions missing, repeated and renamed, and bad values."""
+    session = F.col("session_id")
+    copy = (
+        df.where(~session.endswith("-1"))
+        .unionByName(df.where(session.endswith("-2")))
+        .unionByName(df.where(session.endswith("-3")).withColumn("session_id", F.concat(F.lit("X"), session)))
+    )
+    return copy.withColumns({c: F.expr(damaged_value(table, c)) for c in DAMAGE[table]})
+
+
+# Contracts over damaged copies: their counters must find the damage.
+@_query("damaged_session_reconciliation")
+def _damaged_session_reconciliation(spark, sf):
+    return contracts.session_reconciliation(
+        _features(spark, sf), _damaged("score", _scores(spark, sf))
+    )
+
+
+@_query("damaged_score_contract")
+def _damaged_score_contract(spark, sf):
+    scores = _damaged("score", _scores(spark, sf))
+    return _rounded(contracts.score_contract(_features(spark, sf), scores))
+
+
+@_query("damaged_candidate_contract")
+def _damaged_candidate_contract(spark, sf):
+    return contracts.candidate_contract(
+        _scores(spark, sf), _damaged("cand", _candidates(spark, sf))
+    )
+
+
+@_query("damaged_roi_contract")
+def _damaged_roi_contract(spark, sf):
+    return contracts.roi_contract(_portfolio(spark, sf), _damaged("roi", _roi(spark, sf)))
+
+
 @_query("warehouse_contract")
 def _warehouse_contract(spark, sf):
     return contracts.warehouse_contract(

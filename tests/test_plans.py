@@ -45,13 +45,20 @@ def test_scans_read_only_what_they_need(spark):
     assert "event_properties:struct<persona:string>" in nested
 
 
-@pytest.mark.parametrize("hot, scans", [([], 1), (["1-1"], 2)])
-def test_features_shuffle_event_rows_once(no_broadcast, hot, scans):
+@pytest.mark.parametrize("operator", [features.churn_features, features.observation_cutoff])
+def test_features_of_ordinary_sessions_need_one_shuffle_and_sort(no_broadcast, operator):
     events = registry._events(no_broadcast, SF_DIR)
-    plan = executed(features.churn_features(events, hot))
+    plan = executed(operator(events, []))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("FileScan parquet") == 1
+    assert "Join" not in plan
+
+
+def test_features_of_hot_sessions_fold_before_they_move(no_broadcast):
+    events = registry._events(no_broadcast, SF_DIR)
+    plan = executed(features.churn_features(events, ["1-1"]))
     # both branches over the folded rows come from one shuffle
     assert "ReusedExchange" in plan
-    assert plan.count("FileScan parquet") == scans
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 

@@ -260,3 +260,17 @@ def test_stream_funnel_keeps_a_session_in_one_row(spark, folder):
         ).awaitTermination(120)
     got = spark.read.parquet(f"{folder}/out")
     assert rows(got, "session_id", "user_id", "funnel_outcome") == [("s", "u", "purchased")]
+
+
+# ------------------------------------------------------------------- contracts
+@pytest.mark.parametrize("name, nonzero", [
+    ("damaged_score_contract", ["duplicate_sessions", "feature_sessions_missing_scores",
+     "unexpected_scored_sessions", "missing_scores", "out_of_range_scores", "invalid_risk_bands"]),
+    ("damaged_candidate_contract", ["duplicate_sessions", "missing_interventions",
+     "unexpected_interventions", "invalid_actions", "invalid_priorities"]),
+])
+def test_contracts_find_damage(spark, name, nonzero):
+    from clickloom.plans import queries as registry
+
+    found = registry.queries()[name](spark, "/root/testdata/sf0.01").first().asDict()
+    assert found["passed"] is False and all(found[c] > 0 for c in nonzero)
