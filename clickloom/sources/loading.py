@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from clickloom.operators.quality import quality_report
 from clickloom.sources.landing import read_events
@@ -10,12 +11,13 @@ from clickloom.sources.tables import Warehouse
 
 
 def load_events(warehouse: Warehouse, *landing_paths: str) -> DataFrame:
-    """Load landed events as table ``events``; returns the one-row report.
+    """Load landed events as table ``events``, by day; returns the one-row report.
 
     Raises ValueError when the report is not valid; the events table then
     stays as it was.
     """
-    staged = warehouse.stage("events", read_events(warehouse.spark, *landing_paths))
+    landed = read_events(warehouse.spark, *landing_paths)
+    staged = warehouse.stage("events", landed, F.to_date("event_timestamp"))
     report = quality_report(warehouse.spark.read.parquet(staged))
     result = report.first()
     if not result.is_valid:

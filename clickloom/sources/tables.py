@@ -1,25 +1,33 @@
-"""Published tables: every write is a new version, published last."""
+"""Published tables: every write goes to a path of its own, published last.
+
+Each table has a pointer folder, ``_published/<table>``; a write appends one
+small row naming its path, and the latest row counts. Nothing here knows about
+files, rows or other tables: where the cluster has a catalog, ``ALTER TABLE ..
+SET LOCATION`` does the same.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
+import time
 import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LEDGER = "published_versions"
-_LEDGER_SCHEMA = "table_name string, version long, path string"
+_POINTERS = "published"
+_POINTER_SCHEMA = "published_at long, path string"
+DAY = "event_day"  # partition column of tables laid out by day, not part of their rows
 
 
 class Warehouse:
     """Parquet tables below one shared root.
 
-    A write goes to a path of its own and becomes visible when one row naming
-    it is appended to the ledger. Readers follow the newest ledger row, so a
-    failed write leaves the former version in place and running readers keep
-    the files they planned with.
+    A failed write leaves the former version in place, and running readers keep
+    the files they planned with. Of two writers the one that publishes last
+    wins; no version is lost before ``remove_old_versions`` is called.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -27,22 +35,32 @@ class Warehouse:
         self.root = root.rstrip("/")
 
     # ------------------------------------------------------------- catalog
-    def ledger(self) -> DataFrame:
+    def _pointers(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(f"{_POINTER_SCHEMA}, table_name string").parquet(
+                f"{self.root}/{_POINTERS}"
+            )
+        except AnalysisException:  # nothing published yet
+            return None
+
+    def versions(self, name: str) -> list[str]:
+        """Paths of the table's versions, newest first; from its own pointers."""
         try:
-            return self.spark.read.schema(_LEDGER_SCHEMA).parquet(f"{self.root}/{_LEDGER}")
+            pointers = self.spark.read.schema(_POINTER_SCHEMA).parquet(
+                f"{self.root}/{_POINTERS}/table_name={name}"
+            )
         except AnalysisException:
-            return self.spark.createDataFrame([], _LEDGER_SCHEMA)
-
-    def current(self) -> DataFrame:
-        """Newest version of each table: table_name, version, path."""
-        newest = F.max(F.struct("version", "path")).alias("newest")
-        return self.ledger().groupBy("table_name").agg(newest).select("table_name", "newest.*")
+            return []
+        return [r.path for r in pointers.orderBy(F.desc("published_at"), "path").collect()]
 
     def table_names(self, prefix: str = "") -> DataFrame:
+        pointers = self._pointers()
+        if pointers is None:
+            return self.spark.createDataFrame([], "table_name string")
         return (
-            self.current()
-            .where(F.col("table_name").startswith(prefix))
+            pointers.where(F.col("table_name").startswith(prefix))
             .select("table_name")
+            .distinct()
             .orderBy("table_name")
         )
 
@@ -56,33 +74,59 @@ class Warehouse:
             raise ValueError(f"missing tables: {', '.join(missing)}")
 
     # -------------------------------------------------------- read and write
-    def _newest(self, name: str):
-        return self.current().where(F.col("table_name") == name).first()
+    def _current(self, name: str) -> DataFrame:
+        paths = self.versions(name)
+        if not paths:
+            raise FileNotFoundError(f"table not found in {self.root}: {name}")
+        return self.spark.read.parquet(paths[0])
 
     def read(self, name: str) -> DataFrame:
-        row = self._newest(name)
-        if row is None:
-            raise FileNotFoundError(f"table not found in {self.root}: {name}")
-        return self.spark.read.parquet(row.path)
+        return self._current(name).drop(DAY)
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
+    def read_days(self, name: str, first: dt.date, last: dt.date) -> DataFrame:
+        """Rows of the days first to last of a table laid out by day; files of
+        other days are never opened."""
+        return self._current(name).where(F.col(DAY).between(first, last)).drop(DAY)
+
+    def write(self, name: str, df: DataFrame, day: Column | None = None) -> DataFrame:
         """Replace table ``name`` by ``df`` and return the table as written."""
-        path = self.stage(name, df)
+        path = self.stage(name, df, day)
         self.publish(name, path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.parquet(path).drop(DAY)
+
+    def stage(self, name: str, df: DataFrame, day: Column | None = None) -> str:
+        """Write a version that no reader sees yet; its path.
 
-    def stage(self, name: str, df: DataFrame) -> str:
-        """Write a version that no reader sees yet; its path."""
+        With ``day``, rows are laid out by day. Days are gathered before the
+        write, large ones in several files.
+        """
         path = f"{self.root}/{name}/{uuid.uuid4().hex}"
-        df.write.option("compression", "zstd").parquet(path)
+        if day is None:
+            df.write.option("compression", "zstd").parquet(path)
+        else:
+            laid_out = df.withColumn(DAY, day).hint("rebalance", DAY)
+            laid_out.write.partitionBy(DAY).option("compression", "zstd").parquet(path)
         return path
 
     def publish(self, name: str, path: str) -> None:
         """Make a staged version the current one."""
-        previous = self._newest(name)
-        version = 1 if previous is None else previous.version + 1
-        entry = self.spark.createDataFrame([(name, version, path)], _LEDGER_SCHEMA)
-        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/{_LEDGER}")
+        entry = self.spark.createDataFrame([(time.time_ns(), path)], _POINTER_SCHEMA)
+        entry.coalesce(1).write.mode("append").parquet(
+            f"{self.root}/{_POINTERS}/table_name={name}"
+        )
+
+    def remove_old_versions(self, name: str, keep: int = 1) -> list[str]:
+        """Delete all but the newest ``keep`` versions; call it when no reader
+        holds them any more. Returns the paths removed."""
+        if keep < 1:
+            raise ValueError("the current version stays")
+        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        removed = []
+        for old in self.versions(name)[keep:]:
+            path = jvm.org.apache.hadoop.fs.Path(old)
+            if path.getFileSystem(conf).delete(path, True):
+                removed.append(old)
+        return removed
 
 
 def describe(df: DataFrame) -> DataFrame:

@@ -274,3 +274,32 @@ def test_contracts_find_damage(spark, name, nonzero):
 
     found = registry.queries()[name](spark, "/root/testdata/sf0.01").first().asDict()
     assert found["passed"] is False and all(found[c] > 0 for c in nonzero)
+
+
+# --------------------------------------------------------------------- storage
+def test_periods_open_only_their_days(spark, folder):
+    warehouse = Warehouse(spark, folder)
+    data = [(f"s{d}", "u", at("10:00:00", d), "search") for d in range(1, 9)] + [("n", "u", None, "search")]
+    events = make_events(spark, data)
+    warehouse.write("events", events, F.to_date("event_timestamp"))
+    assert warehouse.read("events").columns == events.columns
+    assert rows(warehouse.read("events"), "event_id") == rows(events, "event_id")
+    period = warehouse.read_days("events", dt.date(2026, 1, 3), dt.date(2026, 1, 4))
+    assert rows(period, "session_id") == [("s3",), ("s4",)]
+    plan = period._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_day" in plan
+    assert len(period.inputFiles()) <= len(warehouse.read("events").inputFiles())
+
+
+def test_two_writers_lose_no_version(spark, folder):
+    one, two = Warehouse(spark, folder), Warehouse(spark, folder)
+    first = one.stage("t", spark.range(1).toDF("a"))
+    second = two.stage("t", spark.range(2).toDF("a"))
+    two.publish("t", second)
+    one.publish("t", first)  # publishes last
+    assert one.versions("t") == two.versions("t") == [first, second]
+    assert two.read("t").count() == 1
+    assert one.remove_old_versions("t") == [second]
+    assert two.read("t").count() == 1
+    with pytest.raises(FileNotFoundError):
+        one.read("other")
