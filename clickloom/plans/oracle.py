@@ -1380,6 +1380,19 @@ _sql(
 )
 
 
+# ------------------------------------------------------------------- streaming
+_sql("incremental_load", "ev", "SELECT event_name, count(*) AS loaded_rows FROM ev GROUP BY 1")
+_sql(
+    "gated_stream",
+    "ev",
+    """
+    SELECT side, event_name, count(*) AS events
+    FROM ev, (VALUES ('accepted'), ('refused')) AS sides(side)
+    GROUP BY 1, 2
+    """,
+)
+_sql("stream_funnel", "fun", "SELECT * FROM fun")
+
 # ------------------------------------------------------------- damaged tables
 # By table the damaged columns, each with the first character of
 # the sessions it is damaged in and the value put there. Sessions that end in -1

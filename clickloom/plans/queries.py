@@ -38,6 +38,7 @@ from clickloom.sources import landing
 from clickloom.sources.fixture import read_canonical
 from clickloom.sources.loading import load_events
 from clickloom.sources.tables import Warehouse
+from clickloom.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -633,6 +634,63 @@ def _model_roundtrip(spark, sf):
     )
 
 
+# ------------------------------------------------------------------- streaming
+@_query("incremental_load")
+def _incremental_load(spark, sf):
+    """Events landed twice, loaded once each by the deduplicating stream."""
+    events, root = _events(spark, sf), fresh_folder(spark, "landing")
+    for number in (1, 2):
+        landing.write_batch(events, number, root)
+    stream = incremental.landing_stream(spark, landing.landing_glob(root))
+    table = fresh_folder(spark, "incremental")
+    incremental.append_events(
+        incremental.deduplicated(stream), table, fresh_folder(spark, "stream")
+    ).awaitTermination()
+    return (
+        spark.read.parquet(table).groupBy("event_name").agg(F.count("*").alias("loaded_rows"))
+    )
+
+
+@_query("gated_stream")
+def _gated_stream(spark, sf):
+    """Events accepted from the first batch and refused from its repetition."""
+    events, root = _events(spark, sf), fresh_folder(spark, "landing")
+    accepted, refused, reports, log = (
+        fresh_folder(spark, name) for name in ("accepted", "refused", "reports", "stream")
+    )
+    for number in (1, 2):
+        landing.write_batch(events, number, root)
+        stream = incremental.landing_stream(spark, landing.landing_glob(root))
+        incremental.gated_load(stream, accepted, refused, reports, log).awaitTermination()
+    sides = [(accepted, "accepted"), (refused, "refused")]
+    counted = [
+        spark.read.parquet(path)
+        .groupBy(F.lit(name).alias("side"), "event_name")
+        .agg(F.count("*").alias("events"))
+        for path, name in sides
+    ]
+    return counted[0].unionByName(counted[1])
+
+
+@_query("stream_funnel")
+def _stream_funnel(spark, sf):
+    """Funnel rows of the stream once a much later event has closed all sessions."""
+    events, root = _events(spark, sf), fresh_folder(spark, "landing")
+    later = landing.conform(
+        events.agg(F.expr("max(event_timestamp) + interval 30 days").alias("event_timestamp"))
+        .withColumns({"session_id": F.lit("later"), "event_id": F.lit("later")})
+        .withColumn("event_name", F.lit("homepage_view"))
+    )
+    table, log = fresh_folder(spark, "incremental"), fresh_folder(spark, "stream")
+    for number, batch in enumerate((events, later, later), start=1):
+        landing.write_batch(batch, number, root)
+        stream = incremental.landing_stream(spark, landing.landing_glob(root))
+        # sessions of the test table are never quiet for more than 12 hours
+        closed = incremental.rolling_funnel(stream, gap="13 hours")
+        incremental.append_events(closed, table, log).awaitTermination()
+    return spark.read.parquet(table)
+
+
 # ------------------------------------------------------------------ whole runs
 @_query("end_to_end_run")
 def _end_to_end_run(spark, sf):
