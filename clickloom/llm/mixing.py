@@ -6,11 +6,11 @@ times its source's size; what exceeds it is shared by the others by weight.
 
 Every source is cut into blocks by a hash of doc_id and text, so the order of
 blocks and of rows within them is a fixed permutation. A source gives whole
-passes over all its blocks and then the longest prefix of the permutation that
-does not pass the target; the gap is narrowed by up to ``FILLS`` further rows,
-each the one whose size comes closest. The prefix's end is found digit by
-digit: each level sums sizes over at most 4096 cells a source and descends into
-one of them, so no source is ever sorted or held in one task.
+passes over all its blocks and then a prefix of the permutation that ends a few
+documents short of the target; the gap is filled by rows behind it, a bounded
+number of each size class, so that small sources come near their targets too. The prefix's end is found digit by digit: each level sums sizes over
+at most 4096 cells a source and descends into one of them, so no source is ever
+sorted or held in one task.
 
 The block draws are dealt to output shards by a binary tree. Each node gives
 half of its draws to either child; how many of each source go left is drawn
@@ -35,8 +35,9 @@ from clickloom.llm.common import stored, word_count
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
 DIGIT_BITS = 12  # 4096 cells a level
+PER_CLASS = 16  # rows of each size class that may fill
+RESERVE = 4  # mean sizes of a document that the prefix leaves to the rows that fill
 LEVELS = 5  # three digits of the document, two of its place (for repeated rows)
-FILLS = 2
 LEAST_DEPTH, MOST_DEPTH = 5, 14  # 32 to 16,384 output shards
 SHARD_DOCS = 20_000  # documents of a shard, between these bounds
 MAX_PLAN_MB = 16  # a larger plan is joined by a shuffle with salt
@@ -111,9 +112,12 @@ def _passes(planned: DataFrame) -> DataFrame:
     bits = F.least(
         F.lit(DIGIT_BITS), F.floor(F.log2(F.greatest("n_docs", F.lit(1)).cast("double")))
     ).cast("int")
+    reserve = F.least("rest", RESERVE * F.col("source_size") / F.greatest("n_docs", F.lit(1)))
     return (
         planned.withColumn("passes", passes.cast("int"))
         .withColumn("rest", F.when(F.col("passes") == MOST_PASSES, 0.0).otherwise(F.greatest(F.lit(0.0), rest)))
+        .withColumn("reserve", reserve)
+        .withColumn("rest", F.col("rest") - F.col("reserve"))
         .withColumn("block_bits", bits)
         .withColumn("cut", F.array().cast("array<int>"))
     )
@@ -161,31 +165,47 @@ def find_cuts(rows: DataFrame, planned: DataFrame) -> DataFrame:
             .drop("end", "left_over"),
             f"mix-cut{level}",
         )
-    return planned
+    return planned.withColumn("rest", F.col("rest") + F.col("reserve")).drop("reserve")
 
 
 def fill_gaps(rows: DataFrame, planned: DataFrame) -> DataFrame:
-    """``extra``: rows behind the cut whose sizes come closest to the gap."""
-    planned = planned.withColumn("extra", F.array().cast("array<struct<hash:bigint,row:bigint>>"))
-    for turn in range(FILLS):
-        wanted = planned.where("rest > 0").select(F.col("key").alias("its_key"), "cut", "rest", "extra")
-        miss = F.abs(F.col("size") - F.col("rest"))
-        best = (
-            rows.join(wanted, F.col("key") == F.col("its_key"))
-            .where((F.col("digits") >= F.col("cut")) & (miss < F.col("rest")))
-            .where(~F.array_contains("extra", F.struct("hash", "row")))
-            .groupBy("key")
-            .agg(F.min_by(F.struct("hash", "row", "size"), F.struct(miss, "hash", "row")).alias("best"))
-        )
-        chosen = F.array(F.struct("best.hash", "best.row"))
-        planned = stored(
-            planned.join(best, "key", "left")
-            .withColumn("extra", F.when(F.col("best").isNull(), F.col("extra")).otherwise(F.concat("extra", chosen)))
-            .withColumn("rest", F.col("rest") - F.coalesce(F.col("best.size"), F.lit(0)))
-            .drop("best"),
-            f"mix-fill{turn}",
-        )
-    return planned
+    """``extra``: rows behind the cut that fill the gap before it.
+
+    Candidates are up to ``PER_CLASS`` rows of each size class (an eighth of an
+    octave) of a source, so their number has a bound. From the largest down, each
+    that fits is taken; at last one more if that comes closer to the target.
+    """
+    wanted = planned.where("rest > 0").select(F.col("key").alias("its_key"), "cut", "rest")
+    behind = (
+        rows.join(wanted, F.col("key") == F.col("its_key"))
+        .where((F.col("digits") >= F.col("cut")) & (F.abs(F.col("size") - F.col("rest")) < F.col("rest")))
+        .withColumn("class", F.floor(8 * F.log2(F.col("size").cast("double"))))
+    )
+    part = F.pmod(F.xxhash64("hash", "row"), F.lit(PER_CLASS)).alias("part")
+    classes = behind.groupBy("key", "class", part).agg(F.min(F.struct("hash", "row", "size")).alias("c"))
+    listed = classes.groupBy("key").agg(
+        F.sort_array(F.collect_list(F.struct("c.size", "c.hash", "c.row")), asc=False).alias("found")
+    )
+    kind = "ARRAY<STRUCT<size: BIGINT, hash: BIGINT, row: BIGINT>>"
+    fitted = F.expr(
+        f"""aggregate(found, named_struct('left', rest, 'taken', CAST(array() AS {kind})),
+            (s, c) -> IF(c.size <= s.left,
+                named_struct('left', s.left - c.size, 'taken', array_append(s.taken, c)), s))"""
+    )
+    closer = F.expr(
+        """array_min(transform(
+            filter(array_except(found, fit.taken), c -> abs(c.size - fit.left) < fit.left),
+            c -> named_struct('miss', abs(c.size - fit.left), 'c', c)))"""
+    )
+    chosen = F.concat(F.col("fit.taken"), F.when(F.col("more").isNotNull(), F.array("more.c")).otherwise(F.array().cast(kind)))
+    none = F.array().cast("array<struct<hash:bigint,row:bigint>>")
+    return (
+        planned.join(listed, "key", "left")
+        .withColumn("fit", fitted)
+        .withColumn("more", closer)
+        .withColumn("extra", F.coalesce(F.transform(chosen, lambda c: F.struct(c["hash"], c["row"])), none))
+        .drop("found", "fit", "more")
+    )
 
 
 def deal(planned: DataFrame, depth: int) -> DataFrame:
@@ -198,7 +218,8 @@ def deal(planned: DataFrame, depth: int) -> DataFrame:
         F.size("cut") > 0,
         F.least(blocks, F.expr(f"shiftright(cut[0], {DIGIT_BITS} - block_bits) + 1")),
     ).otherwise(F.lit(0))
-    quotas = planned.select("key", (F.col("passes") * blocks + last).cast("long").alias("quota"))
+    planned = planned.withColumn("whole_draws", (F.col("passes") * blocks + last).cast("long"))
+    quotas = planned.select("key", (F.col("whole_draws") + F.size("extra")).alias("quota"))
     nodes = quotas.groupBy().agg(
         F.array_sort(F.collect_list(F.struct("key", "quota"))).alias("quotas")
     ).select(F.lit(0).cast("long").alias("node"), "quotas")
@@ -269,7 +290,8 @@ def plan_of(rows: DataFrame, depth: int) -> DataFrame:
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")
     )
     planned = stored(_passes(targets(sources)), "mix-targets")
-    return stored(deal(fill_gaps(rows, find_cuts(rows, planned)), depth), "mix-plan")
+    filled = stored(fill_gaps(rows, find_cuts(rows, planned)), "mix-filled")
+    return stored(deal(filled, depth), "mix-plan")
 
 
 def with_shards(rows: DataFrame, plan: DataFrame, depth: int) -> DataFrame:
@@ -277,12 +299,11 @@ def with_shards(rows: DataFrame, plan: DataFrame, depth: int) -> DataFrame:
     joined = _with_plan(rows, plan, depth)
     block = F.expr(f"shiftright(digits[0], {DIGIT_BITS} - block_bits)")
     blocks = F.expr("shiftleft(1, block_bits)")
-    once_more = (F.size("cut") > 0) & (
-        (F.col("digits") < F.col("cut")) | F.array_contains("extra", F.struct("hash", "row"))
-    )
-    # A row behind the cut goes with the last block drawn.
-    last_draw = F.least(
-        F.expr("CAST(passes * blocks + block AS BIGINT)"), F.element_at("ends", -1) - 1
+    # Rows that fill the gap are the draws behind those of the blocks.
+    filler = F.array_position("extra", F.struct("hash", "row"))
+    once_more = (F.col("digits") < F.col("cut")) | (filler > 0)
+    last_draw = F.when(filler > 0, F.col("whole_draws") + filler - 1).otherwise(
+        F.expr("CAST(passes * blocks + block AS BIGINT)")
     )
     # Pass i permutes the blocks by an odd multiplier; the last pass keeps hash order.
     draws = """
