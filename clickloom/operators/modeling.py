@@ -131,14 +131,13 @@ def train_boosting(features: DataFrame, max_iter: int = 200, seed: int = 42) ->
 
 
 def _fit_prepared(features: DataFrame, estimator) -> PipelineModel:
-    """Preprocess once, keep the rows while the estimator iterates over them."""
+    """Fit the preprocessing, then the estimator on its output.
+
+    Not persisted here: the estimators keep their own compact form of the rows,
+    but only while their input is not persisted.
+    """
     ready = Pipeline(stages=preprocessing_stages()).fit(features)
-    columns = [LABEL, "features", *([_WEIGHT] if _WEIGHT in features.columns else [])]
-    rows = ready.transform(features).select(*columns).persist()
-    try:
-        fitted = estimator.fit(rows)
-    finally:
-        rows.unpersist()
+    fitted = estimator.fit(ready.transform(features))
     return PipelineModel(stages=[*ready.stages, fitted])
 
 
