@@ -4,7 +4,7 @@ Calls and results are joined by identifier, in two aggregated halves, so no
 identifier makes more rows than it has. A result stands after its call and a
 call after the results it names in ``after``: rows are ordered by turn, and only
 rows that stand too early are moved behind what they depend on, repeatedly,
-until all edges point forward. Rows on or behind a cycle are marked. Arguments
+until all edges point forward. Rows on or behind a cycle are marked, all of them. Arguments
 are parsed as JSON and held against the tool's schema (``valid``, true for rows
 without arguments). Each row becomes one line
 of canonical JSON: keys sorted, no spaces, nulls written.
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import stored
+from clickloom.llm.simhash import components
 
 # JSON type -> pattern of the engine's name for the parsed value's type.
 TYPES = {
@@ -111,60 +112,80 @@ def link(rows: DataFrame) -> DataFrame:
     )
 
 
+def _stuck(edges: DataFrame) -> DataFrame:
+    """Rows on or behind a cycle; ``edges`` are (row, pred, late).
+
+    Components without a late edge have no cycle and are left out. In the others
+    rows without open predecessors are taken off until none is left to take, so
+    the rounds are the longest chain of one component.
+    """
+    roots = stored(components(edges.select(F.col("row").alias("a"), F.col("pred").alias("b"))), "chat-roots")
+    root_of = roots.unionByName(roots.select(F.col("root").alias("node"), "root")).distinct()
+    marked = edges.join(root_of, F.col("row") == F.col("node"))
+    suspect = marked.where("late").select("root").distinct()
+    open_edges = stored(marked.join(suspect, "root", "left_semi").select("row", "pred"), "chat-open")
+    while True:
+        waiting = open_edges.select(F.col("row").alias("pred")).distinct()
+        left = stored(open_edges.join(waiting, "pred", "left_semi").select("row", "pred"), "chat-open")
+        if left.count() == open_edges.count():
+            return left.select("row").distinct()
+        open_edges = left
+
+
 def ordered(linked: DataFrame) -> DataFrame:
     """Rows with order_turn and order_level.
 
-    Edges that already point forward cost one join; only rows that stand too
-    early move. A row still moving after as many rounds as rows that ever
-    moved is on or behind a cycle.
+    Edges that already point forward cost one join. If some do not, rows on or
+    behind a cycle are found exactly and keep their own turn with status
+    ``cycle``; of the others only rows that stand too early move, in as many
+    rounds as their longest chain.
     """
     start = F.when(
         F.col("partner_turn") >= F.col("turn"), F.struct(F.col("partner_turn").alias("t"), F.lit(1).alias("l"))
     ).otherwise(F.struct(F.col("turn").alias("t"), F.lit(0).alias("l")))
-    placed = stored(linked.withColumn("place", start), "chat-placed")
-    edges = placed.where(F.size("after") > 0).select(
-        "row", F.explode(F.array_distinct("after")).alias("needs")
+    rows = stored(linked.withColumn("place", start), "chat-placed")
+    known = rows.where("status = 'linked'").select(
+        "kind", F.col("call_id").alias("needs"), F.col("row").alias("pred"), F.col("place").alias("behind")
     )
-    moved, rounds, cyclic = None, 0, False
-    while True:
-        rows = placed
-        if moved is not None:
-            rows = placed.join(moved, "row", "left").withColumn("place", F.coalesce("new", "place")).drop("new")
-        # A result follows its call, so it moves when the call does.
-        calls = rows.where("kind = 'call' AND status = 'linked'").select(
-            F.col("call_id").alias("needs"), F.col("place").alias("behind")
-        )
-        answers = rows.where("kind = 'result' AND status = 'linked'").select(
-            F.col("call_id").alias("needs"), F.col("place").alias("behind")
-        )
-        late = edges.join(answers, "needs").unionByName(
-            rows.where("kind = 'result' AND status = 'linked'")
-            .select("row", F.col("call_id").alias("needs"))
-            .join(calls, "needs")
-        )
-        step = (
-            rows.select("row", "place")
-            .join(late, "row")
-            .where(F.col("place") <= F.col("behind"))
-            .groupBy("row")
-            .agg(F.max("behind").alias("behind"))
-            .select("row", F.struct(F.col("behind.t").alias("t"), (F.col("behind.l") + 1).alias("l")).alias("new"))
-        )
-        step = stored(step, "chat-step")
-        if step.isEmpty():
-            break
-        moved = step if moved is None else stored(
-            moved.join(step, "row", "left_anti").unionByName(step), "chat-moved"
+    # A result follows its call, so it moves when the call does.
+    needs = rows.where(F.size("after") > 0).select("row", "place", F.explode(F.array_distinct("after")).alias("needs"))
+    answers = rows.where("kind = 'result' AND status = 'linked'").select("row", "place", F.col("call_id").alias("needs"))
+    edges = stored(
+        needs.join(known.where("kind = 'result'").drop("kind"), "needs")
+        .unionByName(answers.join(known.where("kind = 'call'").drop("kind"), "needs"))
+        .select("row", "pred", "place", "behind", (F.col("place") <= F.col("behind")).alias("late")),
+        "chat-edges",
+    )
+    if not edges.where("late").isEmpty():
+        stuck = stored(_stuck(edges.select("row", "pred", F.coalesce("late", F.lit(False)).alias("late"))), "chat-stuck")
+        # What needs a stuck row is stuck itself, so the other edges have no cycle.
+        free = stored(edges.join(stuck, "row", "left_anti").select("row", "pred"), "chat-free")
+        rows = stored(
+            rows.join(stuck.withColumn("stuck", F.lit(True)), "row", "left")
+            .withColumn("status", F.when(F.col("stuck"), "cycle").otherwise(F.col("status")))
+            .withColumn(
+                "place",
+                F.when(F.col("stuck"), F.struct(F.col("turn").alias("t"), F.lit(0).alias("l"))).otherwise(F.col("place")),
+            )
+            .drop("stuck"),
+            "chat-marked",
         )
-        rounds += 1
-        if rounds > moved.count() + 1:
-            cyclic = True
-            break
-    if cyclic:
-        stuck = step.select("row", F.lit(True).alias("stuck"))
-        rows = rows.join(stuck, "row", "left").withColumn(
-            "status", F.when(F.col("stuck"), "cycle").otherwise(F.col("status"))
-        ).drop("stuck")
+        while True:
+            places = rows.select("row", "place")
+            behind = rows.select(F.col("row").alias("pred"), F.col("place").alias("behind"))
+            step = stored(
+                free.join(places, "row").join(behind, "pred")
+                .where(F.col("place") <= F.col("behind"))
+                .groupBy("row")
+                .agg(F.max("behind").alias("behind"))
+                .select("row", F.struct(F.col("behind.t").alias("t"), (F.col("behind.l") + 1).alias("l")).alias("new")),
+                "chat-step",
+            )
+            if step.isEmpty():
+                break
+            rows = stored(
+                rows.join(step, "row", "left").withColumn("place", F.coalesce("new", "place")).drop("new"), "chat-moved"
+            )
     return rows.withColumn("order_turn", F.col("place.t")).withColumn("order_level", F.col("place.l")).drop("place")
 
 

@@ -87,6 +87,28 @@ def test_cycles_end(spark):
     assert next(r for r in got if r["call_id"] == "z")["status"] == "no_result"
 
 
+def test_every_row_on_or_behind_a_cycle_is_marked(spark):
+    rows = [
+        call(1, "a", after=["b"]), result(2, "a"), call(3, "b", after=["a"]), result(4, "b"),
+        call(5, "behind", after=["b"]), result(6, "behind"),
+        call(1, "own", after=["own"], conv=2), result(2, "own", conv=2),
+        call(9, "late", conv=3), result(0, "late", conv=3), call(1, "next", after=["late"], conv=3), result(2, "next", conv=3),
+        call(5, "z"),
+    ]
+    got = {(r["kind"], r["call_id"]): r for r in formatted(spark, rows)}
+    assert len(got) == len(rows)
+    for name in ("a", "b", "behind", "own"):
+        for kind in ("call", "result"):
+            r = got[kind, name]
+            assert (r["status"], r["order_turn"], r["order_level"]) == ("cycle", r["turn"], 0)
+    places = [
+        (r["status"], r["order_turn"], r["order_level"])
+        for r in (got["call", "late"], got["result", "late"], got["call", "next"], got["result", "next"])
+    ]
+    assert places == [("linked", 9, level) for level in range(4)]
+    assert got["call", "z"]["status"] == "no_result"
+
+
 def test_conversations_with_odd_rows(spark):
     rows = [
         (1, 0, "system", "s"), (1, 1, "user", "u"), (1, 2, "assistant", "a"), (1, 3, "user", ""),
