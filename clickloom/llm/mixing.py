@@ -7,10 +7,13 @@ times its source's size; what exceeds it is shared by the others by weight.
 Every source is cut into blocks by a hash of doc_id and text, so the order of
 blocks and of rows within them is a fixed permutation. A source gives whole
 passes over all its blocks and then a prefix of the permutation that ends a few
-documents short of the target; the gap is filled by rows behind it, a bounded
-number of each size class, so that small sources come near their targets too. The prefix's end is found digit by digit: each level sums sizes over
-at most 4096 cells a source and descends into one of them, so no source is ever
-sorted or held in one task.
+documents short of the target. A row at the prefix's end that is larger than
+what is still wanted is left out, and the prefix goes on over the rows behind it
+that are no larger than that, again and again until a few such rows would do.
+Only that last gap is filled by a bounded number of rows of each size class, so
+that small sources come near their targets too. A prefix's end is found digit by
+digit: each level sums sizes over at most 4096 cells a source and descends into
+one of them, so no source is ever sorted or held in one task.
 
 The block draws are dealt to output shards by a binary tree. Each node gives
 half of its draws to either child; how many of each source go left is drawn
@@ -124,9 +127,9 @@ def _passes(planned: DataFrame) -> DataFrame:
 
 
 def find_cuts(rows: DataFrame, planned: DataFrame) -> DataFrame:
-    """Where each source's last pass ends: a list of digits, one a level.
+    """Where a prefix of each source's ``rows`` ends: a list of digits, one a level.
 
-    Rows whose digits come before ``cut`` are taken once more. ``rest`` becomes
+    Rows whose digits come before ``cut`` are taken. ``rest`` becomes
     what is still wanted after the cells that are wanted whole.
     """
     by_source = Window.partitionBy("key").orderBy("digit")
@@ -145,11 +148,11 @@ def find_cuts(rows: DataFrame, planned: DataFrame) -> DataFrame:
             "upto", F.sum("cell_size").over(by_source.rowsBetween(Window.unboundedPreceding, 0))
         )
         # The prefix ends in the first cell that is not wanted whole.
+        end = F.struct("digit", (F.col("upto") - F.col("cell_size")).alias("sum"))
         ends = (
             summed.join(planned.where("rest > 0").select("key", "rest"), "key")
-            .where(F.col("upto") > F.col("rest"))
             .groupBy("key")
-            .agg(F.min_by(F.struct("digit", (F.col("upto") - F.col("cell_size")).alias("sum")), "digit").alias("end"))
+            .agg(F.min(F.when(F.col("upto") > F.col("rest"), end)).alias("end"), F.max("upto").alias("total"))
         )
         planned = stored(
             planned.join(ends, "key", "left")
@@ -160,25 +163,72 @@ def find_cuts(rows: DataFrame, planned: DataFrame) -> DataFrame:
                     F.concat("cut", F.array(F.coalesce(F.col("end.digit"), F.lit(1 << DIGIT_BITS)))),
                 ).otherwise(F.col("cut")),
             )
-            .withColumn("left_over", F.col("rest") - F.coalesce(F.col("end.sum"), F.lit(0)))
-            .withColumn("rest", F.when(F.col("end").isNull(), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), "left_over")))
-            .drop("end", "left_over"),
+            .withColumn("rest", F.greatest(F.lit(0.0), F.col("rest") - F.coalesce("end.sum", "total", F.lit(0))))
+            .drop("end", "total"),
             f"mix-cut{level}",
         )
     return planned.withColumn("rest", F.col("rest") + F.col("reserve")).drop("reserve")
 
 
+TAKEN = "exists(spans, s -> size <= s.cap AND digits >= s.since AND digits < s.cut)"
+
+
+def take_prefixes(rows: DataFrame, planned: DataFrame) -> DataFrame:
+    """``spans``: parts of the permutation of which all rows up to a size are taken.
+
+    The first span is the prefix over all rows. While more is wanted than the
+    class fill should find, another goes on from the row that was too large, over
+    rows no larger than what is wanted. The first of them always fits, so each
+    round takes rows, and what is wanted falls below the next row left out.
+    """
+    none = F.array().cast("array<int>")
+    done = find_cuts(rows, planned)
+    first = F.struct(F.lit((1 << 63) - 1).alias("cap"), none.alias("since"), F.col("cut").alias("cut"))
+    done = done.withColumn(
+        "spans", F.filter(F.array(first), lambda s: F.size(s["cut"]) > 0)
+    )
+    while True:
+        wanted = F.broadcast if done.count() * 200 <= MAX_PLAN_MB << 20 else (lambda df: df)
+        gap = done.where("rest > 0").select(F.col("key").alias("its_key"), F.col("cut").alias("since"), "rest")
+        behind = rows.join(wanted(gap), F.col("key") == F.col("its_key")).where(
+            "digits >= since AND size > 0 AND size <= rest"
+        )
+        left = behind.groupBy("key").agg(F.sum("size").alias("left_size"), F.count(F.lit(1)).alias("n_left"))
+        reserve = F.least(F.col("rest"), RESERVE * F.col("left_size") / F.col("n_left"))
+        more = stored(
+            done.join(left.where(F.col("n_left") > PER_CLASS), "key")
+            .where(F.col("rest") > 2 * reserve)
+            .withColumn("reserve", reserve)
+            .withColumn("rest", F.col("rest") - F.col("reserve"))
+            .withColumn("since", F.col("cut"))
+            .withColumn("cap", F.floor("rest"))
+            .withColumn("cut", none)
+            .drop("left_size", "n_left"),
+            "mix-more",
+        )
+        if more.isEmpty():
+            return done
+        bounds = more.select(F.col("key").alias("its_key"), "since", "cap")
+        small = rows.join(wanted(bounds), F.col("key") == F.col("its_key")).where(
+            "digits >= since AND size > 0 AND size <= cap"
+        )
+        found = find_cuts(small.select(rows.columns), more)
+        span = F.struct("cap", "since", "cut")
+        found = found.withColumn("spans", F.concat("spans", F.array(span))).select(done.columns)
+        done = stored(done.join(more.select("key"), "key", "left_anti").unionByName(found), "mix-spans")
+
+
 def fill_gaps(rows: DataFrame, planned: DataFrame) -> DataFrame:
-    """``extra``: rows behind the cut that fill the gap before it.
+    """``extra``: rows outside the spans that fill the last gap.
 
     Candidates are up to ``PER_CLASS`` rows of each size class (an eighth of an
     octave) of a source, so their number has a bound. From the largest down, each
     that fits is taken; at last one more if that comes closer to the target.
     """
-    wanted = planned.where("rest > 0").select(F.col("key").alias("its_key"), "cut", "rest")
+    wanted = planned.where("rest > 0").select(F.col("key").alias("its_key"), "spans", "rest")
     behind = (
         rows.join(wanted, F.col("key") == F.col("its_key"))
-        .where((F.col("digits") >= F.col("cut")) & (F.abs(F.col("size") - F.col("rest")) < F.col("rest")))
+        .where(~F.expr(TAKEN) & (F.abs(F.col("size") - F.col("rest")) < F.col("rest")))
         .withColumn("class", F.floor(8 * F.log2(F.col("size").cast("double"))))
     )
     part = F.pmod(F.xxhash64("hash", "row"), F.lit(PER_CLASS)).alias("part")
@@ -290,7 +340,7 @@ def plan_of(rows: DataFrame, depth: int) -> DataFrame:
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")
     )
     planned = stored(_passes(targets(sources)), "mix-targets")
-    filled = stored(fill_gaps(rows, find_cuts(rows, planned)), "mix-filled")
+    filled = stored(fill_gaps(rows, take_prefixes(rows, planned)), "mix-filled")
     return stored(deal(filled, depth), "mix-plan")
 
 
@@ -301,7 +351,7 @@ def with_shards(rows: DataFrame, plan: DataFrame, depth: int) -> DataFrame:
     blocks = F.expr("shiftleft(1, block_bits)")
     # Rows that fill the gap are the draws behind those of the blocks.
     filler = F.array_position("extra", F.struct("hash", "row"))
-    once_more = (F.col("digits") < F.col("cut")) | (filler > 0)
+    once_more = F.expr(TAKEN) | (filler > 0)
     last_draw = F.when(filler > 0, F.col("whole_draws") + filler - 1).otherwise(
         F.expr("CAST(passes * blocks + block AS BIGINT)")
     )

@@ -90,6 +90,18 @@ def test_identical_rows_are_taken_in_part(make_docs):
     assert all(abs(by[s] - target[s]) <= 5 for s in by)
 
 
+@pytest.mark.parametrize("salt", range(3))
+def test_one_very_long_text_does_not_end_the_mix(make_docs, salt):
+    """Short rows behind a text longer than the rest of the target are taken."""
+    rows = [(i, "w " * (5 + i % 6), "b") for i in range(salt, 2000 + salt)]
+    rows += [(-1 - salt, "w " * 14_000, "b")]
+    rows += [(10_000 + i, "w " * 30, "a") for i in range(400)]
+    got = mixing.mix(make_docs(rows)).where("source_size > 12000").collect()
+    target, taken = got[0]["target"], sum(r["taken"] for r in got)
+    assert len(got) == 2001 and target < 0.5 * got[0]["source_size"]
+    assert abs(taken - target) <= 0.01 * target
+
+
 def test_odd_rows_and_mixed(clashing, make_docs):
     got = mixing.mix(clashing)
     assert got.count() == len(ODD)
