@@ -24,8 +24,10 @@ source's permuted blocks: shards are disjoint and together take every draw. The
 work at the root is one step per block draw, at most 4096 x 3 a source.
 
 Defined results: a null text has size 0; sizes of 0 are never missed or needed;
-an empty table gives an empty mix. Rows that repeat, text included, are told
-apart by their place in the input. The same input gives the same mix.
+an empty table gives an empty mix. Only hashes of doc_id and text decide what is
+taken; a row's place in the input tells rows equal in both apart, so it decides
+which of them is taken but never how many. The same input gives the same mix,
+however its rows are split or ordered.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ MOST_PASSES = 3
 DIGIT_BITS = 12  # 4096 cells a level
 PER_CLASS = 16  # rows of each size class that may fill
 RESERVE = 4  # mean sizes of a document that the prefix leaves to the rows that fill
-LEVELS = 5  # three digits of the document, two of its place (for repeated rows)
+LEVELS = 7  # five digits of the document, two of its place (for rows equal in doc_id and text)
 LEAST_DEPTH, MOST_DEPTH = 5, 14  # 32 to 16,384 output shards
 SHARD_DOCS = 20_000  # documents of a shard, between these bounds
 MAX_PLAN_MB = 16  # a larger plan is joined by a shuffle with salt
@@ -66,7 +68,7 @@ def sized(docs: DataFrame, with_text: bool = False) -> DataFrame:
     )
     again = F.xxhash64(F.lit("row"), F.col("row"))
     mask = (1 << DIGIT_BITS) - 1
-    digits = [F.col("hash"), F.shiftright("hash", 20), F.shiftright("hash", 40)]
+    digits = [F.shiftright("hash", DIGIT_BITS * i) for i in range(5)]
     digits += [again, F.shiftright(again, 20)]
     return rows.withColumn(
         "digits", F.array(*[d.bitwiseAND(F.lit(mask)).cast("int") for d in digits])
@@ -142,13 +144,13 @@ def find_cuts(rows: DataFrame, planned: DataFrame) -> DataFrame:
             wanted = planned.where("rest > 0").select(F.col("key").alias("its_key"), "cut")
             inside = rows.join(wanted, (F.col("key") == F.col("its_key")) & (path == F.col("cut")))
         cells = inside.groupBy("key", F.element_at("digits", level + 1).alias("digit")).agg(
-            F.sum("size").alias("cell_size")
+            F.sum("size").alias("cell_size"), F.count(F.lit(1)).alias("n")
         )
         summed = cells.withColumn(
             "upto", F.sum("cell_size").over(by_source.rowsBetween(Window.unboundedPreceding, 0))
         )
         # The prefix ends in the first cell that is not wanted whole.
-        end = F.struct("digit", (F.col("upto") - F.col("cell_size")).alias("sum"))
+        end = F.struct("digit", (F.col("upto") - F.col("cell_size")).alias("sum"), "n")
         ends = (
             summed.join(planned.where("rest > 0").select("key", "rest"), "key")
             .groupBy("key")
@@ -164,9 +166,15 @@ def find_cuts(rows: DataFrame, planned: DataFrame) -> DataFrame:
                 ).otherwise(F.col("cut")),
             )
             .withColumn("rest", F.greatest(F.lit(0.0), F.col("rest") - F.coalesce("end.sum", "total", F.lit(0))))
+            .withColumn("n_end", F.coalesce("end.n", F.lit(0)))
             .drop("end", "total"),
             f"mix-cut{level}",
         )
+        # A cell of one row needs no further digit.
+        deeper = not planned.where("n_end > 1 AND rest > 0").isEmpty()
+        planned = planned.drop("n_end")
+        if not deeper:
+            break
     return planned.withColumn("rest", F.col("rest") + F.col("reserve")).drop("reserve")
 
 
@@ -222,7 +230,7 @@ def fill_gaps(rows: DataFrame, planned: DataFrame) -> DataFrame:
     """``extra``: rows outside the spans that fill the last gap.
 
     Candidates are up to ``PER_CLASS`` rows of each size class (an eighth of an
-    octave) of a source, so their number has a bound. From the largest down, each
+    octave) of a source, the first by hash, so their number has a bound. From the largest down, each
     that fits is taken; at last one more if that comes closer to the target.
     """
     wanted = planned.where("rest > 0").select(F.col("key").alias("its_key"), "spans", "rest")
@@ -231,10 +239,10 @@ def fill_gaps(rows: DataFrame, planned: DataFrame) -> DataFrame:
         .where(~F.expr(TAKEN) & (F.abs(F.col("size") - F.col("rest")) < F.col("rest")))
         .withColumn("class", F.floor(8 * F.log2(F.col("size").cast("double"))))
     )
-    part = F.pmod(F.xxhash64("hash", "row"), F.lit(PER_CLASS)).alias("part")
-    classes = behind.groupBy("key", "class", part).agg(F.min(F.struct("hash", "row", "size")).alias("c"))
+    first = F.row_number().over(Window.partitionBy("key", "class").orderBy("hash", "row"))
+    classes = behind.select("key", "class", "size", "hash", "row").withColumn("n", first).where(F.col("n") <= PER_CLASS)
     listed = classes.groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("c.size", "c.hash", "c.row")), asc=False).alias("found")
+        F.sort_array(F.collect_list(F.struct("size", "hash", "row")), asc=False).alias("found")
     )
     kind = "ARRAY<STRUCT<size: BIGINT, hash: BIGINT, row: BIGINT>>"
     fitted = F.expr(
@@ -394,17 +402,17 @@ def mix(docs: DataFrame, depth: int | None = None) -> DataFrame:
 def mixed(docs: DataFrame, depth: int | None = None) -> DataFrame:
     """The mix itself: documents with all columns, once for each time taken.
 
-    Each shard is shuffled on its own; rows of one shard follow each other. The
-    input is read twice and should be a stored table: a row that repeats is
-    known by its place in it.
+    Each shard is shuffled on its own; rows of one shard follow each other.
+    Sizes and texts come from one stored table that carries the row numbers.
     """
-    sizes = stored(sized(docs), "mix-sizes")
+    whole = stored(sized(docs, with_text=True), "mix-rows")
+    sizes = whole.drop("whole")
     depth = depth_for(sizes) if depth is None else depth
     plan = plan_of(sizes, depth)
-    rows = with_shards(sized(docs, with_text=True), plan, depth)
-    drawn = rows.select("whole", "row", F.posexplode("shards").alias("time", "shard"))
+    rows = with_shards(whole, plan, depth)
+    drawn = rows.select("whole", "hash", F.posexplode("shards").alias("time", "shard"))
     return (
-        drawn.withColumn("place", F.xxhash64(F.lit("place"), "row", "time"))
+        drawn.withColumn("place", F.xxhash64(F.lit("place"), "hash", "time"))
         .repartition("shard", F.pmod("place", F.lit(8)))
         .sortWithinPartitions("shard", "place")
         .select("whole.*")

@@ -102,6 +102,22 @@ def test_one_very_long_text_does_not_end_the_mix(make_docs, salt):
     assert abs(taken - target) <= 0.01 * target
 
 
+def test_split_and_order_of_rows_do_not_change_the_mix(spark, make_docs):
+    """Also where the input's rows are split anew at each read."""
+    rows = corpus()[:300] + [(5000, "w " * 9, "a")] * 40
+    docs = make_docs(rows)
+    once = mixing.mix(docs.coalesce(1))
+    again = mixing.mix(docs.orderBy(F.rand(3)).repartition(5))
+    want = collected(once, "doc_id", "taken", "shards")
+    assert collected(again, "doc_id", "taken", "shards") == want
+    unsteady = docs.orderBy(F.rand()).repartition(5)
+    texts = Counter(r["doc_id"] for r in mixing.mixed(unsteady.withColumn("x", F.rand())).collect())
+    times = Counter()
+    for doc_id, _, shards in want:
+        times[doc_id] += len(shards)
+    assert texts == +times
+
+
 def test_odd_rows_and_mixed(clashing, make_docs):
     got = mixing.mix(clashing)
     assert got.count() == len(ODD)
