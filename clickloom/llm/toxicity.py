@@ -3,7 +3,8 @@
 A text's terms are its distinct words, lower-cased and without punctuation at
 either end, and their beginnings of 4, 5 and 6 letters, each hashed. The terms
 that tell the classes apart best on the training sample (by a likelihood-ratio
-statistic, at most ``TERMS``) enter the model
+statistic, at most ``TERMS``) enter the model, and with them the terms of pairs
+that tell more together than both alone (at most ``TERMS`` again),
 
     w0 + sum w[i] + sum over pairs <v[i], v[j]>,
 
@@ -36,6 +37,9 @@ DIMENSIONS = 1 << 22  # hashed terms
 TERMS = 4_096  # terms in the model
 LEAST_DOCS = 3  # training documents a term must be in
 LEAST_GAIN = 10.0  # nats that a term must tell about the classes
+LEAST_PAIR_GAIN = 20.0  # nats that a pair must tell beyond its two terms; 16 are ln of all pairs
+PAIR_TERMS = 8_192  # most frequent terms whose pairs are counted
+PAIRS_AT_ONCE = 256  # terms whose pairs are counted together
 STARTS = (4, 5, 6)
 FACTORS = 8
 ROUNDS, BATCH, RATE, DECAY = 20, 64, 0.02, 1e-3
@@ -77,21 +81,67 @@ class Terms(dict):
         return np.array(sorted(found), np.int32)
 
 
+def _gain(cells: list[tuple[np.ndarray, np.ndarray]], n: np.ndarray) -> np.ndarray:
+    """Likelihood-ratio statistic of the classes in cells of (class 0, class 1) counts."""
+    gain = 0.0
+    for cell in cells:
+        total = cell[0] + cell[1]
+        for c in (0, 1):
+            share = total * (n[c] / n.sum())
+            gain = gain + np.where(cell[c] > 0, cell[c] * np.log(np.maximum(cell[c], 1e-9) / np.maximum(share, 1e-9)), 0)
+    return gain
+
+
+def pair_terms(rows: list[np.ndarray], y: np.ndarray, with_term: np.ndarray) -> np.ndarray:
+    """Terms of pairs that tell ``LEAST_PAIR_GAIN`` beyond what both terms tell.
+
+    A document tells ln(n / n of its class) at most, so rarer terms have no such pair.
+    """
+    n = np.bincount(y, minlength=2).astype(float)
+    count = with_term.sum(axis=0)
+    able = np.flatnonzero((count >= LEAST_PAIR_GAIN / np.log(n.sum() / n.min())) & (count < n.sum()))
+    able = np.sort(able[np.lexsort((able, -count[able]))[:PAIR_TERMS]])
+    if len(able) < 2:
+        return np.empty(0, np.int64)
+    place = np.full(DIMENSIONS, -1, np.int32)
+    place[able] = np.arange(len(able))
+    sides = [np.zeros((int(m), len(able)), np.float32) for m in n]
+    filled = [0, 0]
+    for row, target in zip(rows, y):
+        at = place[row]
+        sides[target][filled[target], at[at >= 0]] = 1
+        filled[target] += 1
+    one = [with_term[c, able].astype(float) for c in (0, 1)]
+    alone = _gain([tuple(one), tuple(n[c] - one[c] for c in (0, 1))], n)
+    best = np.full(len(able), -np.inf)
+    for at in range(0, len(able), PAIRS_AT_ONCE):
+        part = slice(at, at + PAIRS_AT_ONCE)
+        both = [(side[:, part].T @ side[:, at:]).astype(float) for side in sides]
+        left, right = [o[part, None] for o in one], [o[None, at:] for o in one]
+        cells = [
+            tuple(both),
+            tuple(left[c] - both[c] for c in (0, 1)),
+            tuple(right[c] - both[c] for c in (0, 1)),
+            tuple(n[c] - left[c] - right[c] + both[c] for c in (0, 1)),
+        ]
+        more = _gain(cells, n) - alone[part, None] - alone[None, at:]
+        best[part] = np.maximum(best[part], more.max(axis=1))
+        best[at:] = np.maximum(best[at:], more.max(axis=0))
+    order = np.lexsort((able, -best))[:TERMS]
+    return able[order[best[order] >= LEAST_PAIR_GAIN]]
+
+
 def choose_terms(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Terms with the largest likelihood-ratio statistic, of ``LEAST_GAIN`` or more."""
+    """Terms that tell ``LEAST_GAIN`` or more alone, and those of telling pairs."""
     n = np.bincount(y, minlength=2).astype(float)
     with_term = np.zeros((2, DIMENSIONS), np.int32)
     for row, target in zip(rows, y):
         with_term[target, row] += 1
     frequent = np.flatnonzero(with_term.sum(axis=0) >= LEAST_DOCS)
     a = with_term[:, frequent].astype(float)
-    total, expected = a.sum(axis=0), a.sum(axis=0) / n.sum()
-    gain = np.zeros(len(frequent))
-    for c in (0, 1):
-        for seen, share in ((a[c], expected * n[c]), (n[c] - a[c], (n.sum() - total) / n.sum() * n[c])):
-            gain += np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(share, 1e-9)), 0)
+    gain = _gain([tuple(a), tuple(n[c] - a[c] for c in (0, 1))], n)
     best = np.lexsort((frequent, -gain))[:TERMS]
-    return np.sort(frequent[best[gain[best] >= LEAST_GAIN]]).astype(np.int32)
+    return np.union1d(frequent[best[gain[best] >= LEAST_GAIN]], pair_terms(rows, y, with_term)).astype(np.int32)
 
 
 def raw(model: dict, row: np.ndarray) -> float:

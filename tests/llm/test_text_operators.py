@@ -156,6 +156,30 @@ def test_pairs_weigh_more_than_their_terms():
     assert value[()] > 0 > value[(0,)] and value[(0, 1)] > 0 > value[(1,)]
 
 
+def test_pairs_are_learned_by_the_whole_fit():
+    """Two terms, each as frequent in either class, mark class 1 only together."""
+    rng = np.random.default_rng(8)
+
+    def made(n):
+        rows, y = [], []
+        for i in range(n):
+            a, b = i % 2, i // 2 % 2
+            terms = np.concatenate([[1] * a, [2] * b, rng.integers(10, 2000, 6)])
+            rows.append(np.unique(terms).astype(np.int32))
+            y.append(int(a == b))
+        return rows, np.array(y)
+
+    model = toxicity.fit(*made(3000))
+    number = {int(t): i for i, t in enumerate(model["terms"])}
+    assert {1, 2} <= set(number)
+    rows, y = made(400)
+    right = [
+        (toxicity.raw(model, np.array([number[t] for t in r if t in number], int)) > 0) == bool(label)
+        for r, label in zip(rows, y)
+    ]
+    assert np.mean(right) >= 0.9
+
+
 def test_dual_coordinate_descent_is_optimal():
     """The hinge-loss objective equals the dual value at the solution."""
     rng = np.random.default_rng(6)
