@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from clickloom.llm import (
     chat,
     exact_dedup,
+    hard_negatives,
+    merkle,
     mixing,
     packing,
     quality_classifier,
@@ -17,6 +19,7 @@ from clickloom.llm import (
     token_counts,
     toxicity,
     url_filters,
+    warc,
 )
 from clickloom.llm.common import table
 
@@ -64,6 +67,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.usable(table(spark, sf_dir, "embeddings")))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -76,6 +91,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": op8_simhash,
         "op9_chat_formatting": op9_chat_formatting,
         "op10_toxicity": op10_toxicity,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_warc": op12_warc,
+        "op13_merkle": op13_merkle,
     }
 
 
@@ -85,6 +103,9 @@ def oracle_sql() -> dict[str, str]:
         "op3_exact_dedup": OP3,
         "op4_url_filters": OP4,
         "op9_chat_formatting": OP9,
+        "op11_hard_negatives": OP11,
+        "op12_warc": OP12,
+        "op13_merkle": OP13,
     }
 
 
@@ -204,3 +225,111 @@ SELECT conv_id, turn, kind, call_id,
        END::VARCHAR AS line
 FROM used
 """
+
+OP11 = r"""
+WITH used AS (
+    SELECT row_number() OVER () AS uid, vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.uid AS anchor, a.vec_id AS anchor_id, b.uid, b.vec_id, a.label = b.label AS same,
+           list_inner_product(a.vector, b.vector)::BIGINT AS score
+    FROM used a JOIN used b ON a.vec_id % 50 = 0 AND a.uid <> b.uid
+), positives AS (
+    SELECT *
+    FROM scored
+    WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+           p.score AS positive_score, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor, p.uid ORDER BY n.score DESC, n.vec_id) AS rank
+    FROM positives p JOIN scored n
+      ON n.anchor = p.anchor AND NOT n.same
+     AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM ranked
+WHERE rank <= 3
+"""
+
+OP12 = r"""
+WITH hashed AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+           row_number() OVER (PARTITION BY sha256(coalesce(html, '')) ORDER BY page_id) AS place
+    FROM pages
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN first_value(page_id) OVER same END AS refers_to
+FROM hashed
+WINDOW same AS (PARTITION BY payload_digest ORDER BY place)
+"""
+
+
+def _merkle_sql(levels: int = 5, upper: int = 4) -> str:
+    """SQL of the manifest for up to 16^levels leaves a source and 16^upper sources."""
+
+    def forest(name: str, count: int) -> str:
+        """Levels name0, name1, ... and for each the siblings of its nodes (null: a lone node)."""
+        parts = []
+        for k in range(count):
+            parts.append(f"""{name}{k}s AS (
+    SELECT *,
+           CASE WHEN n > 1 THEN coalesce(string_agg(hash, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') END AS l,
+           CASE WHEN n > 1 THEN coalesce(string_agg(hash, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') END AS r
+    FROM {name}{k}
+    WINDOW run AS (PARTITION BY tree, pos // 16 ORDER BY pos)
+), {name}{k + 1} AS (
+    SELECT tree, pos // 16 AS pos, (n + 15) // 16 AS n,
+           CASE WHEN n = 1 THEN min(hash) ELSE sha256(string_agg(hash, '' ORDER BY pos)) END AS hash
+    FROM {name}{k}
+    GROUP BY tree, pos // 16, n
+)""")
+        return ", ".join(parts)
+
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END"
+    leaf = lambda text: "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    fold, joins, proof, previous = [], [], [], "hash"
+    for name, count in (("a", levels), ("b", upper)):
+        for k in range(count):
+            same = "s.tree IS NOT DISTINCT FROM x.tree AND s.pos = x.pos // " if name == "a" else "s.pos = x.top_pos // "
+            joins.append(f"JOIN {name}{k}s AS {name}{k}j ON {same.replace('s.', f'{name}{k}j.')}{16**k}")
+            fold.append(f"CASE WHEN {name}{k}j.l IS NULL THEN {previous} ELSE sha256({name}{k}j.l || {previous} || {name}{k}j.r) END AS f{name}{k}")
+            proof.append(f"coalesce({name}{k}j.l || {name}{k}j.r, '')")
+            previous = f"f{name}{k}"
+    return rf"""
+WITH leaves AS (
+    SELECT doc_id, source AS tree, {leaf("text")} AS hash, {leaf(lowered)} AS lowered_hash,
+           -- crc32 bit by bit; a null doc_id has that of nothing, 0
+           list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+               lambda c: list_transform(range(8), lambda i: (ascii(c) >> i::INTEGER) & 1))),
+               lambda crc, bit: xor(crc >> 1, 3988292384 * (xor(crc, bit) & 1))) AS inverted
+    FROM documents
+), a0 AS (
+    SELECT *, xor(coalesce(inverted, 4294967295), 4294967295) % 5 = 0 AS tampered,
+           row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, hash) - 1 AS pos,
+           count(*) OVER (PARTITION BY tree) AS n
+    FROM leaves
+), {forest("a", levels)}, b0 AS (
+    SELECT 0 AS tree, tree AS source, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, count(*) OVER () AS n, hash
+    FROM a{levels}
+), {forest("b", upper)}, x AS (
+    SELECT a0.*, b0.pos AS top_pos, b0.hash AS subroot, b{upper}.hash AS root,
+           CASE WHEN tampered THEN lowered_hash ELSE a0.hash END AS found
+    FROM a0 JOIN b0 ON b0.source IS NOT DISTINCT FROM a0.tree, b{upper}
+), folded AS (
+    SELECT x.doc_id, x.hash AS leaf, x.subroot, x.root, sha256({" || ".join(proof)}) AS proof_sha256,
+           {(", " + chr(10) + "           ").join(fold).replace("THEN hash ELSE", "THEN x.found ELSE").replace("l || hash ||", "l || x.found ||")}
+    FROM x {(chr(10) + "         ").join(joins)}
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, {previous} AS folded_root, {previous} = root AS verified
+FROM folded
+"""
+
+
+OP13 = _merkle_sql()
