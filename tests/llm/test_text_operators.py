@@ -146,16 +146,85 @@ def test_pairs_weigh_more_than_their_terms():
         a, b = i % 2, i // 2 % 2
         rows.append(np.unique(np.concatenate([[1] * a, [2] * b, rng.integers(10, 400, 6)]).astype(np.int32)))
         y.append(int(a == b))
-    kept = toxicity.choose_terms
-    try:
-        toxicity.choose_terms = lambda rows, y: np.array([1, 2], np.int32)
-        model = toxicity.fit(rows, np.array(y))
-    finally:
-        toxicity.choose_terms = kept
+    model = toxicity._learn(rows, np.array(y), np.array([1, 2], np.int32))
     value = {s: toxicity.raw(model, np.array(s, int)) for s in [(), (0,), (1,), (0, 1)]}
     assert value[()] > 0 > value[(0,)] and value[(0, 1)] > 0 > value[(1,)]
 
 
+def test_machine_equals_the_sum_over_pairs():
+    rng = np.random.default_rng(3)
+    model = {"w0": 0.3, "w": rng.normal(size=9), "v": rng.normal(size=(9, toxicity.FACTORS))}
+    for size in range(10):
+        row = rng.permutation(9)[:size]
+        plain = model["w0"] + sum(model["w"][i] for i in row)
+        plain += sum(model["v"][i] @ model["v"][j] for a, i in enumerate(row) for j in row[a + 1 :])
+        assert toxicity.raw(model, row) == pytest.approx(plain)
+
+
+def test_fit_equals_a_plain_one(monkeypatch):
+    """The same steps text by text and term by term."""
+    monkeypatch.setattr(toxicity, "ROUNDS", 2)
+    rng = np.random.default_rng(4)
+    y = np.array([i % 3 == 0 for i in range(150)], int)
+    rows = [np.unique(rng.integers(0, 12, 5)).astype(np.int32) for _ in y]
+    chosen = np.array([0, 2, 3, 5, 7, 11], np.int32)
+    got = toxicity._learn(rows, y, chosen)
+    rng, f = np.random.default_rng(11), toxicity.FACTORS
+    value = np.concatenate([[0.0], np.zeros(6), rng.normal(0, 0.02, (6, f)).ravel()])
+    first, second, step = np.zeros_like(value), np.zeros_like(value), 0
+    number = {t: i for i, t in enumerate(chosen.tolist())}
+    weight = {c: len(y) / (2 * sum(y == c)) for c in (0, 1)}
+    for _ in range(2):
+        order = rng.permutation(len(y))
+        for at in range(0, len(y), toxicity.BATCH):
+            part = order[at : at + toxicity.BATCH]
+            slope = toxicity.DECAY * value
+            for i in part:
+                row = [number[t] for t in rows[i].tolist() if t in number]
+                if rng.random() >= toxicity.WHOLE:
+                    row = [t for t, u in zip(row, rng.random(len(row)) < rng.random()) if u]
+                v = value[7:].reshape(6, f)
+                z = value[0] + sum(value[1 + t] for t in row)
+                z += sum(v[a] @ v[b] for k, a in enumerate(row) for b in row[k + 1 :])
+                miss = weight[y[i]] * (1 / (1 + np.exp(-z)) - y[i]) / len(part)
+                slope[0] += miss
+                for a in row:
+                    slope[1 + a] += miss
+                    slope[7 + a * f : 7 + (a + 1) * f] += miss * sum((v[b] for b in row if b != a), np.zeros(f))
+            step += 1
+            first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
+            rate = toxicity.RATE * (1 - step / (2 * 3 + 1))
+            value = value - rate * first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    want = (value[0], value[1:7], value[7:].reshape(6, f))
+    assert all(np.allclose(a, b) for a, b in zip((got["w0"], got["w"], got["v"]), want))
+
+
+def test_short_toxic_texts_in_four_languages():
+    """A prefix that is an insult in one language only, and one insult in a text."""
+    rng = np.random.default_rng(6)
+    languages = [[f"{c}{i}" for i in range(60)] for c in "pqrs"]
+    insults = ["idiot", "loser", "scumbag", "clown", "moron"]
+
+    def text(language, length, insult=None):
+        words = [languages[language][int(i)] for i in 60 * rng.random(length) ** 2]
+        if language == 1 and rng.random() < 0.2:
+            words.append("losend")  # an ordinary word there
+        return " ".join(words + ([insult] if insult else []))
+
+    known, rows, y = toxicity.Terms(), [], []
+    for i in range(2400):
+        toxic = i % 6 == 0
+        extra = " ".join(rng.choice(insults, rng.integers(1, 6))) if toxic else None
+        rows.append(known.of(text(int(rng.integers(4)), int(rng.integers(20, 200)), extra)))
+        y.append(int(toxic))
+    model = toxicity.fit(rows, np.array(y))
+    number = toxicity.Terms({int(t): i for i, t in enumerate(model["terms"])})
+    score = lambda t: toxicity.score(model, number.of(t))
+    found = [score(text(k, n, w)) >= 0.5 for k in range(4) for w in insults for n in (0, 4, 20, 150)]
+    assert np.mean(found) >= 0.95
+    assert np.mean([score(text(i % 4, 5 + i)) < 0.5 for i in range(200)]) >= 0.98
+
+
 def test_pairs_are_learned_by_the_whole_fit():
     """Two terms, each as frequent in either class, mark class 1 only together."""
     rng = np.random.default_rng(8)
