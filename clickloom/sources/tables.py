@@ -1,24 +1,23 @@
 """Published tables: every write goes to a path of its own, published last.
 
-Each table has a pointer folder, ``_published/<table>``; a write appends one
-small row naming its path, and the latest row counts. Nothing here knows about
-files, rows or other tables: where the cluster has a catalog, ``ALTER TABLE ..
-SET LOCATION`` does the same.
+Each table has a commit log, ``published/<table>``; a write adds a numbered
+commit naming its path, and the highest number counts, whatever the writers'
+clocks say. Nothing here knows about rows or other tables: where the cluster has
+a catalog, ``ALTER TABLE .. SET LOCATION`` does the same.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import time
 import uuid
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.sources.commits import CommitLog
+
 _POINTERS = "published"
-_POINTER_SCHEMA = "published_at long, path string"
 DAY = "event_day"  # partition column of tables laid out by day, not part of their rows
 
 
@@ -26,8 +25,9 @@ class Warehouse:
     """Parquet tables below one shared root.
 
     A failed write leaves the former version in place, and running readers keep
-    the files they planned with. Of two writers the one that publishes last
-    wins; no version is lost before ``remove_old_versions`` is called.
+    the files they planned with. Of two writers the one that commits last wins,
+    unless it named the version it builds on; no version is lost before
+    ``remove_old_versions`` is called.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -35,34 +35,28 @@ class Warehouse:
         self.root = root.rstrip("/")
 
     # ------------------------------------------------------------- catalog
-    def _pointers(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(f"{_POINTER_SCHEMA}, table_name string").parquet(
-                f"{self.root}/{_POINTERS}"
-            )
-        except AnalysisException:  # nothing published yet
-            return None
+    def log(self, name: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self.root}/{_POINTERS}/{name}")
 
     def versions(self, name: str) -> list[str]:
-        """Paths of the table's versions, newest first; from its own pointers."""
-        try:
-            pointers = self.spark.read.schema(_POINTER_SCHEMA).parquet(
-                f"{self.root}/{_POINTERS}/table_name={name}"
-            )
-        except AnalysisException:
-            return []
-        return [r.path for r in pointers.orderBy(F.desc("published_at"), "path").collect()]
+        """Paths of the table's versions, newest first."""
+        log = self.log(name)
+        return [log.read(number)["path"] for number in reversed(log.numbers())]
+
+    def current(self, name: str) -> tuple[int, str]:
+        """Number and path of the current version."""
+        log = self.log(name)
+        number = log.latest()
+        if not number:
+            raise FileNotFoundError(f"table not found in {self.root}: {name}")
+        return number, log.read(number)["path"]
 
     def table_names(self, prefix: str = "") -> DataFrame:
-        pointers = self._pointers()
-        if pointers is None:
-            return self.spark.createDataFrame([], "table_name string")
-        return (
-            pointers.where(F.col("table_name").startswith(prefix))
-            .select("table_name")
-            .distinct()
-            .orderBy("table_name")
-        )
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{_POINTERS}")
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = fs.listStatus(path) if fs.exists(path) else []
+        names = sorted(n for n in (s.getPath().getName() for s in found) if n.startswith(prefix))
+        return self.spark.createDataFrame([(n,) for n in names], "table_name string").orderBy("table_name")
 
     def missing_tables(self, required: Iterable[str]) -> DataFrame:
         wanted = self.spark.createDataFrame([(n,) for n in required], "table_name string")
@@ -75,10 +69,7 @@ class Warehouse:
 
     # -------------------------------------------------------- read and write
     def _current(self, name: str) -> DataFrame:
-        paths = self.versions(name)
-        if not paths:
-            raise FileNotFoundError(f"table not found in {self.root}: {name}")
-        return self.spark.read.parquet(paths[0])
+        return self.spark.read.parquet(self.current(name)[1])
 
     def read(self, name: str) -> DataFrame:
         return self._current(name).drop(DAY)
@@ -108,12 +99,13 @@ class Warehouse:
             laid_out.write.partitionBy(DAY).option("compression", "zstd").parquet(path)
         return path
 
-    def publish(self, name: str, path: str) -> None:
-        """Make a staged version the current one."""
-        entry = self.spark.createDataFrame([(time.time_ns(), path)], _POINTER_SCHEMA)
-        entry.coalesce(1).write.mode("append").parquet(
-            f"{self.root}/{_POINTERS}/table_name={name}"
-        )
+    def publish(self, name: str, path: str, expected: int | None = None) -> int:
+        """Make a staged version the current one; its number.
+
+        ``expected`` is the number of the version it was made from (0: none);
+        a CommitConflict is raised if another one has been published since.
+        """
+        return self.log(name).commit({"path": path}, expected)
 
     def remove_old_versions(self, name: str, keep: int = 1) -> list[str]:
         """Delete all but the newest ``keep`` versions; call it when no reader
@@ -122,7 +114,9 @@ class Warehouse:
             raise ValueError("the current version stays")
         jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         removed = []
-        for old in self.versions(name)[keep:]:
+        versions = self.versions(name)
+        held = set(versions[:keep])
+        for old in dict.fromkeys(v for v in versions[keep:] if v not in held):
             path = jvm.org.apache.hadoop.fs.Path(old)
             if path.getFileSystem(conf).delete(path, True):
                 removed.append(old)
