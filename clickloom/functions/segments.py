@@ -8,6 +8,9 @@ a summary with one row per hot key and segment. All other keys are a single
 segment and need one shuffle and no summary. Rows without a key are a group
 like any other and can be hot as well (None in the list).
 
+Rows that are already laid out by segment (see ``sources.sessions``) carry the
+segment as a column; it is used as it is, so their windows need no shuffle.
+
 Which keys count as hot only decides how work is spread. Results are the same
 for any list of hot keys: rows and segment ends use one ordering, with NULL
 times and NULL ties last.
@@ -31,6 +34,19 @@ _WHOLE_KEY = -(2**62)  # the only segment of a key that is not hot
 _NO_TIME = 2**62  # rows without a timestamp sort last, in a segment of their own
 
 
+class _EveryKey(Sequence):
+    """A list of hot keys that holds every key; not to be iterated."""
+
+    def __len__(self) -> int:
+        return 1
+
+    def __getitem__(self, i):
+        raise TypeError("every key is hot: there is no list of them")
+
+
+EVERY_KEY = _EveryKey()
+
+
 def hot_keys(
     df: DataFrame, key: str, share: int = HOT_SHARE, task_rows: int = TASK_ROWS
 ) -> list:
@@ -47,6 +63,8 @@ def hot_keys(
 
 
 def is_hot(key: str, hot: Sequence) -> Column:
+    if hot is EVERY_KEY:
+        return F.lit(True)
     if not hot:
         return F.lit(False)
     known = F.coalesce(F.col(key).isin([k for k in hot if k is not None]), F.lit(False))
@@ -61,9 +79,23 @@ def segment_of(key: str, ts: str, hot: Sequence, seconds: int) -> Column:
     whole = F.lit(_WHOLE_KEY).cast("long")
     if not hot:
         return whole
+    if hot is EVERY_KEY:
+        return segment_number(ts, seconds)
     return F.when(is_hot(key, hot), segment_number(ts, seconds)).otherwise(whole)
 
 
+def cut_by_segment(df: DataFrame, key: str, ts: str, hot: Sequence, seconds: int) -> DataFrame:
+    """Rows with their segment; as laid out, where they are."""
+    if SEGMENT in df.columns:
+        return df
+    return df.withColumn(SEGMENT, segment_of(key, ts, hot, seconds))
+
+
+def kept_segment(df: DataFrame) -> list[str]:
+    """The column to keep for rows that are laid out by segment."""
+    return [SEGMENT] if SEGMENT in df.columns else []
+
+
 def _chain(key: str):
     return Window.partitionBy(key).orderBy(SEGMENT)
 
@@ -112,7 +144,7 @@ def with_neighbours(
     """
     hot = hot_keys(df, key) if hot is None else hot
     here = F.struct(*carry)
-    cut = df.withColumn(SEGMENT, segment_of(key, ts, hot, seconds))
+    cut = cut_by_segment(df, key, ts, hot, seconds)
     local = _in_segment(key, ts, tie)
     rows = cut.withColumn("_here", here).select(
         *cut.columns,
@@ -155,7 +187,7 @@ def with_positions(
 ) -> DataFrame:
     """Add the 1-based position of the row in its key and the key's row count."""
     hot = hot_keys(df, key) if hot is None else hot
-    cut = df.withColumn(SEGMENT, segment_of(key, ts, hot, seconds))
+    cut = cut_by_segment(df, key, ts, hot, seconds)
     local_count = F.count("*").over(Window.partitionBy(key, SEGMENT))
     rows = cut.select(
         *cut.columns,

@@ -22,13 +22,15 @@ from clickloom.functions.columns import (
     tally,
 )
 from clickloom.functions.segments import (
+    EVERY_KEY,
     SEGMENT,
     SEGMENT_SECONDS,
+    cut_by_segment,
     hot_keys,
     is_hot,
     join_segments,
+    kept_segment,
     segment_number,
-    segment_of,
     with_positions,
 )
 
@@ -50,7 +52,9 @@ def ordered_events(
         "price",
         "cart_value",
         F.col("event_properties.persona").alias("persona"),
+        *kept_segment(events),
     )
+    named = [c for c in rows.columns if c != SEGMENT]
     return with_positions(
         rows,
         "session_id",
@@ -60,7 +64,7 @@ def ordered_events(
         "total_session_events",
         hot,
         seconds,
-    ).select(*rows.columns, "event_sequence", "total_session_events")
+    ).select(*named, "event_sequence", "total_session_events")
 
 
 def session_outcomes(events: DataFrame) -> DataFrame:
@@ -92,8 +96,8 @@ def _before_purchase(
     at, bought = F.col("event_timestamp"), is_event("purchase_complete")
     seen = F.when(~bought & ~_is_extra(), at)
     together = Window.partitionBy("session_id", SEGMENT)
-    cut = events.where(F.col("session_id").isNotNull()).withColumn(
-        SEGMENT, segment_of("session_id", "event_timestamp", hot, seconds)
+    cut = cut_by_segment(
+        events.where(F.col("session_id").isNotNull()), "session_id", "event_timestamp", hot, seconds
     )
     rows = cut.select(
         *cut.columns,
@@ -306,6 +310,8 @@ def churn_features(
     too). Rows of another user than the cutoff's do not count. Ordinary sessions
     need one shuffle, by session; hot ones are folded by segment first.
     """
+    if hot is EVERY_KEY:
+        return _features_by_name(_counts_of_split_sessions(events, hot, seconds))
     ordinary, split, hot = _parts(events, hot)
     features = _features_by_name(_counts_of_whole_sessions(ordinary))
     if split is None:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import is_event, minutes_between, round_to, share, tally
-from clickloom.functions.segments import SEGMENT_SECONDS, with_neighbours
+from clickloom.functions.segments import SEGMENT_SECONDS, kept_segment, with_neighbours
 
 
 def event_context(
@@ -19,7 +19,9 @@ def event_context(
     ``hot`` lists session ids to split by time; None finds them in one pass.
     """
     rows = with_neighbours(
-        events.select("session_id", "user_id", "event_id", "event_name", "event_timestamp"),
+        events.select(
+            "session_id", "user_id", "event_id", "event_name", "event_timestamp", *kept_segment(events)
+        ),
         "session_id",
         "event_timestamp",
         "event_id",
