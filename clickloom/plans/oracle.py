@@ -1393,6 +1393,12 @@ _sql(
 )
 _sql("stream_funnel", "fun", "SELECT * FROM fun")
 
+# ----------------------------------------------- sessions laid out or refreshed
+for _way in ("laid_out", "refreshed"):
+    _sql(f"{_way}_session_funnel", "fun", "SELECT * FROM fun")
+    _sql(f"{_way}_velocity_metrics", "vel", "SELECT * FROM vel")
+    _sql(f"{_way}_churn_features", "feat", "SELECT * FROM feat")
+
 # ------------------------------------------------------------- damaged tables
 # By table the damaged columns, each with the first character of
 # the sessions it is damaged in and the value put there. Sessions that end in -1

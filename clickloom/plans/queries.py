@@ -31,12 +31,13 @@ from clickloom.operators import (
     risk,
     velocity,
 )
-from clickloom.plans import stages
+from clickloom.plans import refresh, stages
 from clickloom.plans.oracle import DAMAGE, damaged_value
 from clickloom.session import fresh_folder
 from clickloom.sources import landing
 from clickloom.sources.fixture import read_canonical
 from clickloom.sources.loading import load_events
+from clickloom.sources.sessions import SessionLayout, write_layout
 from clickloom.sources.tables import Warehouse
 from clickloom.streaming import incremental
 
@@ -691,6 +692,44 @@ def _stream_funnel(spark, sf):
     return spark.read.parquet(table)
 
 
+# ----------------------------------------------- sessions laid out or refreshed
+_LAYOUTS: dict[tuple[str, str], SessionLayout] = {}
+
+
+def _layout(spark: SparkSession, sf: str) -> SessionLayout:
+    """The events by session, written once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LAYOUTS:
+        _LAYOUTS[key] = write_layout(_events(spark, sf), fresh_folder(spark, "sessions"), _hot(spark, sf))
+    return _LAYOUTS[key]
+
+
+for _name, _table_of in refresh.SESSION_TABLES.items():
+    _short = {"analytics_churn_feature_dataset": "churn_features"}.get(_name, _name.removeprefix("analytics_"))
+    _REGISTRY[f"laid_out_{_short}"] = lambda spark, sf, table=_table_of: _layout(spark, sf).per_session(
+        spark, lambda events, hot, seconds: table(events, hot)
+    )
+    _REGISTRY[f"refreshed_{_short}"] = lambda spark, sf, name=_name: _refreshed(spark, sf).table(name)
+
+_REFRESHED: dict[tuple[str, str], refresh.IncrementalWarehouse] = {}
+
+
+def _refreshed(spark: SparkSession, sf: str) -> refresh.IncrementalWarehouse:
+    """Session tables after two landings, the second holding the last three days."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _REFRESHED:
+        events, root = _events(spark, sf), fresh_folder(spark, "landing")
+        warehouse = refresh.IncrementalWarehouse(spark, fresh_folder(spark, "warehouse"))
+        day = F.to_date("event_timestamp")
+        last = events.agg(F.max(day)).first()[0]
+        recent = day > F.date_sub(F.lit(last), 3)
+        for number, part in enumerate((events.where(~recent), events.where(recent)), start=1):
+            warehouse.land(landing.write_batch(part, number, root))
+            warehouse.refresh()
+        _REFRESHED[key] = warehouse
+    return _REFRESHED[key]
+
+
 # ------------------------------------------------------------------ whole runs
 @_query("end_to_end_run")
 def _end_to_end_run(spark, sf):
