@@ -225,38 +225,49 @@ def _spread(rows: DataFrame, members: DataFrame) -> DataFrame:
     return frequent.unionByName(rest.join(members, "print"))
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns: the smallest doc_id.
-
-    Documents alone in their component never move: a filter over the prints of
-    the other components, bounded like that of the exact operator, lets them
-    pass. The rest is folded to one row a print, then to one a component, both
-    before each shuffle. Of rows equal in doc_id and print one stays.
+def one_a_component(rows: DataFrame, key: str, shared: DataFrame, columns: list[str]) -> DataFrame:
+    """Of ``rows``, one of each component, with ``columns``: the smallest doc_id.
+
+    ``shared`` (key, root) has the keys of the components with several rows.
+    Rows alone in their component never move: a filter over those keys, bounded
+    like that of the exact operator, lets them pass. The rest is folded to one
+    row a key, then to one a component, both before each shuffle. Of rows equal
+    in doc_id and key one stays.
     """
+    bits = filter_bits(shared.count())
+    present = stored(set_positions(shared, F.col("key"), bits, least=1), "simhash-filter")
+    flag = f"{key}_flag"
+    flagged = maybe_set(rows, F.col(key), present, bits, flag)
+    named = [F.col(f"`{c}`") for c in columns]
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"))
+    best = (
+        flagged.where(flag)
+        .groupBy(F.col(key).alias("key"))
+        .agg(F.min_by(F.struct(*named), order).alias("whole"), F.min(order).alias("order"))
+        .join(shared, "key", "left")
+        # A key alone in its component is its own root.
+        .groupBy("root", F.when(F.col("root").isNull(), F.col("key")).alias("alone"))
+        .agg(F.min_by("whole", F.struct("order", "key")).alias("whole"))
+        .select("whole.*")
+    )
+    return flagged.where(~F.col(flag)).select(*named).unionByName(best)
+
+
+def free_name(docs: DataFrame, start: str) -> str:
+    """A column name longer than any of ``docs``, so that it clashes with none."""
+    return start + "_" * max([0, *(len(c) for c in docs.columns)])
+
+
+def deduplicate(docs: DataFrame) -> DataFrame:
+    """One document of each component, with all its columns: the smallest doc_id."""
     shared = stored(
-        members_of(stored(fingerprints(docs), "simhash")).where("n_rows > 1").select("print", "root"),
+        members_of(stored(fingerprints(docs), "simhash")).where("n_rows > 1").select(F.col("print").alias("key"), "root"),
         "simhash-shared",
     )
-    bits = filter_bits(shared.count())
-    present = stored(set_positions(shared, F.col("print"), bits, least=1), "simhash-filter")
 
     @F.pandas_udf("bigint")
     def print_of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
 
-    name = "_print" + "_" * max([0, *(len(c) for c in docs.columns)])  # longer than any column
-    flag = f"{name}_flag"
-    rows = docs.withColumn(name, print_of(F.col("text")))
-    flagged = maybe_set(rows, F.col(name), present, bits, flag)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"))
-    best = (
-        flagged.where(flag)
-        .groupBy(F.col(name).alias("print"))
-        .agg(F.min_by(F.struct(*columns), order).alias("whole"), F.min(order).alias("order"))
-        .join(shared, "print", "left")
-        .groupBy(F.coalesce("root", "print").alias("root"))
-        .agg(F.min_by("whole", F.struct("order", "print")).alias("whole"))
-        .select("whole.*")
-    )
-    return flagged.where(~F.col(flag)).select(*columns).unionByName(best)
+    name = free_name(docs, "_print")
+    return one_a_component(docs.withColumn(name, print_of(F.col("text"))), name, shared, docs.columns)
