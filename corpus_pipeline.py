@@ -1,4 +1,14 @@
-"""The corpus pipeline: five stages, each one operator over all that is left."""
+"""The corpus pipeline: five stages, each one operator over all that is left.
+
+Defined results for odd rows, stage by stage: a null, empty or blank text is
+scored, kept or dropped by the classifier like any other; such texts are equal to
+each other for both deduplications (one stays), have no words, so the mix takes
+nothing of them and nothing of them is packed. A text longer than a batch is
+packed in pieces, whole. Of repeated rows one stays. A null doc_id loses to any
+other, a null source is a source. An empty table, or a classifier without labels
+of both classes, gives what its stages give: an empty result for an empty table.
+Columns beyond those of ``documents`` travel along up to the mix.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import exact_dedup, mixing, packing, quality_classifier, simhash
+from clickloom.llm import exact_dedup, mixing, near_texts, packing, quality_classifier
 from clickloom.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -23,8 +33,8 @@ def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of linked fingerprints."""
-    return simhash.deduplicate(docs)
+    """One document of each component of texts with 0.8 or more of their five-word shingles in common."""
+    return near_texts.deduplicate(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
