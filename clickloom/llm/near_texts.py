@@ -158,7 +158,7 @@ def links(docs: DataFrame, similarity: float, blocks: int, bits: int, at_once: i
     open_rows = stored(keys.join(shared, group), "near-open")
     edges = [docs.sparkSession.createDataFrame([], "a string, b string")]
     roots = docs.sparkSession.createDataFrame([], "key string, root string")
-    take = 1  # first a star a group: that alone connects most groups of near copies
+    take = 1  # a star a group, then two, four, ...: few stars connect a group of near copies
     while not open_rows.isEmpty():
         named = open_rows.join(roots, "key", "left").select(
             "key", "lead", *group, F.coalesce("root", "key").alias("root")
@@ -200,7 +200,7 @@ def links(docs: DataFrame, similarity: float, blocks: int, bits: int, at_once: i
             active.join(taken.select("key", *group), ["key", *group], "left_anti").select("key", "lead", *group),
             "near-open",
         )
-        take = at_once
+        take = min(2 * take, at_once)
     return roots
 
 
