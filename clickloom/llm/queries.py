@@ -122,23 +122,31 @@ WITH counted AS (
            len(lines) - len(list_distinct(lines)) AS n_dup_lines,
            length(regexp_replace(t, '[^!]+', '', 'g')) AS n_marks,
            length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS n_capitals,
-           len(list_filter(range(2, n_words + 1), lambda i: words[i] = words[i - 1])) AS n_same_words,
            row_number() OVER () AS uid
     FROM documents
+), numbered AS (
+    SELECT uid, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM counted
 ), windows AS (
-    SELECT uid, unnest(range(1, n_words - 6)) AS pos, words FROM counted WHERE n_words > 8
-), repeated AS (
-    SELECT uid, pos
-    FROM (SELECT uid, pos, count(*) OVER (PARTITION BY uid, array_to_string(words[pos:pos + 7], ' ')) AS n FROM windows)
-    WHERE n > 1
+    SELECT uid, pos, lag(word) OVER w = word AS same_word,
+           lead(word, 7) OVER w IS NOT NULL AS whole,
+           concat_ws(' ', word, lead(word, 1) OVER w, lead(word, 2) OVER w, lead(word, 3) OVER w,
+                     lead(word, 4) OVER w, lead(word, 5) OVER w, lead(word, 6) OVER w, lead(word, 7) OVER w) AS eight
+    FROM numbered
+    WINDOW w AS (PARTITION BY uid ORDER BY pos)
+), marked AS (
+    SELECT uid, pos, same_word, whole AND count(*) OVER (PARTITION BY uid, eight, whole) > 1 AS found_twice FROM windows
 ), covered AS (
-    SELECT uid, count(DISTINCT pos + k) AS n_repeat_words
-    FROM repeated, range(8) AS eight(k)
+    SELECT uid, same_word,
+           coalesce(bool_or(found_twice) OVER (PARTITION BY uid ORDER BY pos ROWS BETWEEN 7 PRECEDING AND CURRENT ROW), false) AS inside
+    FROM marked
+), repeats AS (
+    SELECT uid, count(*) FILTER (inside) AS n_repeat_words, count(*) FILTER (same_word) AS n_same_words
+    FROM covered
     GROUP BY uid
 ), judged AS (
     SELECT *, coalesce(r.n_repeat_words, 0) AS n_repeats,
            n_words < 20 OR 100 * n_repeats > 30 * n_words AS base_failed
-    FROM counted LEFT JOIN covered r USING (uid)
+    FROM counted LEFT JOIN repeats r USING (uid)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeats AS n_repeat_words, base_failed,
        NOT (base_failed
@@ -146,7 +154,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeats AS n_repea
             OR 10 * n_dup_lines > 6 * n_lines
             OR 10 * n_marks > n_words
             OR 2 * n_capitals > word_chars
-            OR 10 * n_same_words > 2 * n_words
+            OR 10 * coalesce(n_same_words, 0) > 2 * n_words
             OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words) AS kept
 FROM judged
 """
