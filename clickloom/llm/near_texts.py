@@ -8,7 +8,10 @@ two-word shingles, of which an edit changes fewer. Close pairs share a block
 (with 40 blocks of 24 bits: nearly all at 8 % differing bits, the median of pairs
 above 0.8 in the test corpora, and nine in ten at 11 %, their ninetieth
 percentile), are joined on blocks, held against a Hamming distance over the first
-128 bits, and then verified exactly by their five-word shingles.
+128 bits, and then verified exactly by their five-word shingles. The shingles
+travel only for pairs that a small map of them cannot rule out: a bit for each
+of 4,096 hash ranges bounds what two texts have in common from above, so a pair
+it rules out is surely below the similarity.
 
 Texts that share a block make no pairs among all of them. Each round takes some
 texts of a block's group and holds them against the others; texts found to be
@@ -46,6 +49,7 @@ LEAD = 2  # longs of the fingerprint that travel with each key
 LEAD_DISTANCE = 32  # of 128 bits; unrelated texts differ in about 60
 AT_ONCE = 128
 BITS_AT_ONCE = 4096
+MAP_LONGS = 64  # longs of a text's map of shingles
 SEED = 42
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -110,11 +114,37 @@ def _prints(blocks: int, bits: int):
     return work
 
 
+def shingle_map(hashes: np.ndarray) -> np.ndarray:
+    """Which of ``MAP_LONGS`` x 64 equal ranges the hashes of shingles fall into, as bits."""
+    bits = np.zeros(MAP_LONGS * 64, np.uint8)
+    bits[hashes // np.uint64(2**64 // bits.size)] = 1
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text")
-        rows = [shingles(texts[i].as_py(), SHINGLE).view(np.int64) for i in range(len(texts))]
-        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(rows, pa.list_(pa.int64()))], ["key", "shingles"])
+        rows = [shingles(texts[i].as_py(), SHINGLE) for i in range(len(texts))]
+        maps = [shingle_map(r) for r in rows]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("key"),
+                pa.array([r.view(np.int64) for r in rows], pa.list_(pa.int64())),
+                pa.array(maps, pa.list_(pa.int64())),
+            ],
+            ["key", "shingles", "map"],
+        )
+
+
+def most_in_common(map_a: Column, n_a: Column, map_b: Column, n_b: Column) -> Column:
+    """No two texts with these maps and numbers of shingles have more shingles in common.
+
+    Each range set in both holds one common shingle, and one more for each
+    shingle of a text beyond the first of its range.
+    """
+    ones = lambda bits: F.aggregate(bits, F.lit(0), lambda n, x: n + F.bit_count(x).cast("int"))
+    both = ones(F.zip_with(map_a, map_b, lambda x, y: x.bitwiseAND(y)))
+    return both + F.least(n_a - ones(map_a), n_b - ones(map_b))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
@@ -124,13 +154,28 @@ def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame
     """
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     texts = docs.select(text_key(F.col("text")).alias("key"), "text").join(wanted, "key", "left_semi")
-    made = texts.mapInArrow(_shingled, "key string, shingles array<bigint>").dropDuplicates(["key"])
+    made = texts.mapInArrow(_shingled, "key string, shingles array<bigint>, map array<bigint>").dropDuplicates(["key"])
     made = stored(made, "near-shingles")
-    left = made.select(F.col("key").alias("a"), F.col("shingles").alias("of_a"))
-    right = made.select(F.col("key").alias("b"), F.col("shingles").alias("of_b"))
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    union = F.size("of_a") + F.size("of_b") - both
-    return pairs.join(right, "b").join(left, "a").where(both >= F.lit(similarity) * union).select("a", "b")
+
+    def side(name: str, *columns: str) -> DataFrame:
+        return made.select(
+            F.col("key").alias(name), F.size("shingles").alias(f"n_{name}"), *[F.col(c).alias(f"{c}_{name}") for c in columns]
+        )
+
+    most = most_in_common(F.col("map_a"), F.col("n_a"), F.col("map_b"), F.col("n_b"))
+    likely = stored(
+        pairs.join(side("b", "map"), "b").join(side("a", "map"), "a")
+        .where(most >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - most))
+        .select("a", "b"),
+        "near-likely",
+    )
+    both = F.size(F.array_intersect("shingles_a", "shingles_b"))
+    union = F.col("n_a") + F.col("n_b") - both
+    return (
+        likely.join(side("b", "shingles"), "b").join(side("a", "shingles"), "a")
+        .where(both >= F.lit(similarity) * union)
+        .select("a", "b")
+    )
 
 
 def _roots(edges: list[DataFrame]) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 from llm_cases import ODD, clashing, collected, make_docs, odd  # noqa: F401
+from pyspark.sql import functions as F
 
 from clickloom.llm import near_texts
 
@@ -125,3 +126,19 @@ def test_odd_rows(odd, clashing):
     assert got.columns == clashing.columns
     assert sorted((r["doc_id"] for r in got.collect()), key=repr) == sorted(brute_kept(ODD), key=repr)
     assert near_texts.deduplicate(odd.where("doc_id < 0")).count() == 0
+
+
+def test_maps_never_rule_out_what_is_common(spark):
+    """The bound from two maps is at least what the texts have in common, for short and long texts."""
+    rng = np.random.default_rng(3)
+    rows, common = [], []
+    for n in (0, 1, 7, 300, 5000, 40000):
+        pool = rng.integers(0, 2**64, n + n // 4, dtype=np.uint64)
+        x, y = np.unique(pool[:n]), np.unique(pool[n // 4 :])
+        rows.append((n, near_texts.shingle_map(x).tolist(), len(x), near_texts.shingle_map(y).tolist(), len(y)))
+        common.append(len(np.intersect1d(x, y)))
+    maps = spark.createDataFrame(rows, "n long, mx array<bigint>, nx int, my array<bigint>, ny int")
+    most = near_texts.most_in_common(F.col("mx"), F.col("nx"), F.col("my"), F.col("ny"))
+    bounds = [r.most for r in maps.select("n", most.alias("most")).orderBy("n").collect()]
+    assert all(b >= c for b, c in zip(bounds, common, strict=True))
+    assert bounds[3] <= 1.2 * common[3]  # and tells something about texts of usual length
