@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +17,7 @@ from clickloom.functions.columns import any_null, is_event, seconds_between
 from clickloom.operators.funnel import with_reached_flags
 from clickloom.operators.quality import quality_report
 from clickloom.sources.landing import conform
+from clickloom.streaming.accepted import accepted_before, record
 
 
 def landing_stream(spark: SparkSession, landing_glob: str) -> DataFrame:
@@ -72,17 +72,8 @@ def row_is_valid() -> Column:
     return F.coalesce(reduce(lambda a, b: a & b, rules), F.lit(False))
 
 
-def _accepted_before(spark: SparkSession, accepted: str, number: int) -> DataFrame:
-    """Ids accepted by batches other than this one."""
-    try:
-        stored = spark.read.parquet(accepted)
-    except AnalysisException:  # nothing accepted yet
-        return spark.createDataFrame([], "event_id string")
-    return stored.where(F.col("batch") != number).select("event_id")
-
-
 def gated_load(
-    stream: DataFrame, accepted: str, quarantine: str, reports: str, checkpoint: str
+    stream: DataFrame, accepted: str, quarantine: str, reports: str, checkpoint: str, index: str | None = None
 ) -> StreamingQuery:
     """Quality gate per micro-batch.
 
@@ -91,7 +82,11 @@ def gated_load(
     earlier batch has had accepted go to quarantine. The batch's report is
     stored beside them. Each batch writes to folders of its own number and
     replaces them when it is retried; it is read once.
+
+    Ids of earlier batches are looked up through ``index`` (by default beside
+    ``accepted``), so that only batches that may hold one of this batch's are read.
     """
+    index = index or f"{accepted.rstrip('/')}-index"
 
     def take(batch: DataFrame, number: int) -> None:
         def store(df: DataFrame, root: str) -> None:
@@ -101,10 +96,7 @@ def gated_load(
         repeated = (
             batch.groupBy("event_id").count().where("count > 1").select("event_id")
         )
-        earlier = _accepted_before(batch.sparkSession, accepted, number)
-        repeated = repeated.union(
-            earlier.join(batch.select("event_id"), "event_id", "left_semi").distinct()
-        )
+        repeated = repeated.union(accepted_before(batch.select("event_id"), accepted, index, number))
         marked = batch.withColumn("is_valid", row_is_valid())
         good = marked.where("is_valid").drop("is_valid").join(repeated, "event_id", "left_anti")
         twice = marked.where("is_valid").drop("is_valid").join(repeated, "event_id", "left_semi")
@@ -112,6 +104,7 @@ def gated_load(
         store(quality_report(batch), reports)
         store(good, accepted)
         store(bad.unionByName(twice), quarantine)
+        record(batch.sparkSession.read.parquet(f"{accepted}/batch={number}"), index, number)
         batch.unpersist()
 
     return (
