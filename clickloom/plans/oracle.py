@@ -1400,10 +1400,19 @@ for _way in ("laid_out", "refreshed"):
     _sql(f"{_way}_churn_features", "feat", "SELECT * FROM feat")
 
 # ------------------------------------------------------------- damaged tables
-# By table the damaged columns, each with the first character of
-# the sessions it is damaged in and the value put there. Sessions that end in -1
+# By table the damaged columns, each with how the sessions start
+# (as in LIKE) it is damaged in and the value put there. Sessions that end in -1
 # are missing, those in -2 are there twice, those in -3 also under another name.
 DAMAGE = {
+    "ev": {
+        "event_name": ("1", "'none'"),
+        "event_timestamp": ("2", "NULL"),
+        "user_id": ("3", "NULL"),
+        "experiment_id": ("4", "'EXP-000'"),
+        "session_id": ("5", "NULL"),
+        "variant": ("%-4", "CASE WHEN event_name = 'search' THEN 'none' ELSE 'treatment' END"),
+    },
+    "feat": {"churned": ("1", "NULL"), "purchased": ("2", "1")},
     "score": {
         "risk_band": ("1", "'none'"),
         "churn_risk_score": ("2", "101.0"),
@@ -1434,6 +1443,12 @@ for _table, _columns in DAMAGE.items():
         """,
     )
 for _name, _needs, _table in (
+    ("quality_report", "", "ev"),
+    ("missing_ids", "", "ev"),
+    ("session_boundary", "", "ev"),
+    ("unstable_assignment", "", "ev"),
+    ("inconsistent_users", "", "ev"),
+    ("ml_integrity", "", "feat"),
     ("session_reconciliation", "feat score", "score"),
     ("score_contract", "feat score", "score"),
     ("candidate_contract", "score cand assume", "cand"),

@@ -475,7 +475,21 @@ def _damaged(table: str, df: DataFrame) -> DataFrame:
     return copy.withColumns({c: F.expr(damaged_value(table, c)) for c in DAMAGE[table]})
 
 
-# Contracts over damaged copies: their counters must find the damage.
+# Checks and contracts over damaged copies: their counters must find the damage.
+_over(
+    lambda spark, sf: _damaged("ev", _events(spark, sf)),
+    damaged_quality_report=quality.quality_report,
+    damaged_missing_ids=quality.missing_ids,
+    damaged_session_boundary=quality.session_boundary,
+    damaged_unstable_assignment=quality.unstable_assignment,
+    damaged_inconsistent_users=quality.inconsistent_users,
+)
+_over(
+    lambda spark, sf: _damaged("feat", _features(spark, sf)),
+    damaged_ml_integrity=contracts.ml_integrity,
+)
+
+
 @_query("damaged_session_reconciliation")
 def _damaged_session_reconciliation(spark, sf):
     return contracts.session_reconciliation(

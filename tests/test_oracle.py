@@ -37,3 +37,16 @@ def test_every_oracle_has_a_query():
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 4
+
+
+@pytest.mark.parametrize("name", ["quality_report", "missing_ids", "session_boundary", "inconsistent_users", "ml_integrity"])
+def test_damage_is_found(spark, name):
+    """Every counter of defects is above zero over the damaged copy."""
+    found = QUERIES[f"damaged_{name}"](spark, SF_DIR).first().asDict()
+    assert not found.pop("is_valid", False) and not found.pop("passed", False)
+    assert [c for c, n in found.items() if not n] == []
+
+
+def test_damaged_assignment_is_found(spark):
+    users = QUERIES["damaged_unstable_assignment"](spark, SF_DIR)
+    assert users.where("variant_count > 1").count() > 0 and users.where("experiment_count <> 1").count() > 0
