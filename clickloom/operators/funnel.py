@@ -50,11 +50,16 @@ def session_funnel(events: DataFrame) -> DataFrame:
     owner.
     """
     stamp = F.struct("event_timestamp", "event_id", "user_id")
-    firsts = (
+    return owners_of_steps(
         _funnel_events(events)
         .groupBy("session_id")
         .agg(*[F.min(F.when(is_event(step), stamp)).alias(step) for step in S.FUNNEL_STEPS])
     )
+
+
+def owners_of_steps(firsts: DataFrame) -> DataFrame:
+    """Rows by (session, user) of sessions with the first event of each step, a struct
+    (event_timestamp, event_id, user_id) or NULL, in a column named like the step."""
     reached_steps = F.filter(
         F.array(*[F.col(step) for step in S.FUNNEL_STEPS]), lambda s: s.isNotNull()
     )

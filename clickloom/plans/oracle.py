@@ -1392,6 +1392,7 @@ _sql(
     """,
 )
 _sql("stream_funnel", "fun", "SELECT * FROM fun")
+_sql("continued_funnel", "fun", "SELECT * FROM fun")
 
 # ----------------------------------------------- sessions laid out or refreshed
 for _way in ("laid_out", "refreshed"):

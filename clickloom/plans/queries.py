@@ -39,7 +39,7 @@ from clickloom.sources.fixture import read_canonical
 from clickloom.sources.loading import load_events
 from clickloom.sources.sessions import SessionLayout, write_layout
 from clickloom.sources.tables import Warehouse
-from clickloom.streaming import incremental
+from clickloom.streaming import continued, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -687,15 +687,20 @@ def _gated_stream(spark, sf):
     return counted[0].unionByName(counted[1])
 
 
-@_query("stream_funnel")
-def _stream_funnel(spark, sf):
-    """Funnel rows of the stream once a much later event has closed all sessions."""
-    events, root = _events(spark, sf), fresh_folder(spark, "landing")
-    later = landing.conform(
+def _much_later(events):
+    """One event that closes all sessions before it."""
+    return landing.conform(
         events.agg(F.expr("max(event_timestamp) + interval 30 days").alias("event_timestamp"))
         .withColumns({"session_id": F.lit("later"), "event_id": F.lit("later")})
         .withColumn("event_name", F.lit("homepage_view"))
     )
+
+
+@_query("stream_funnel")
+def _stream_funnel(spark, sf):
+    """Funnel rows of the stream once a much later event has closed all sessions."""
+    events, root = _events(spark, sf), fresh_folder(spark, "landing")
+    later = _much_later(events)
     table, log = fresh_folder(spark, "incremental"), fresh_folder(spark, "stream")
     for number, batch in enumerate((events, later, later), start=1):
         landing.write_batch(batch, number, root)
@@ -706,6 +711,29 @@ def _stream_funnel(spark, sf):
     return spark.read.parquet(table)
 
 
+@_query("continued_funnel")
+def _continued_funnel(spark, sf):
+    """Last versions of sessions published after half an hour of quiet, corrected as
+    they go on; landed by day, and the stream starts anew for each landing."""
+    events, root = _events(spark, sf), fresh_folder(spark, "landing")
+    table, log = fresh_folder(spark, "versions"), fresh_folder(spark, "stream")
+    first, last = events.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
+    parts, width = 3, (last - first) / 3
+    batches = []
+    for i in range(parts):
+        at = F.col("event_timestamp")
+        since = at >= F.lit(first + i * width) if i else F.lit(True)
+        batches.append(events.where(since & (at < F.lit(first + (i + 1) * width) if i < parts - 1 else F.lit(True))))
+    later = _much_later(events)
+    for number, batch in enumerate((*batches, later, later), start=1):
+        landing.write_batch(batch, number, root)
+        stream = incremental.landing_stream(spark, landing.landing_glob(root))
+        # sessions of the test table are never quiet for more than 12 hours
+        versions = continued.funnel_versions(stream, keep="13 hours")
+        incremental.append_events(versions, table, log).awaitTermination()
+    return continued.latest_funnel(spark.read.parquet(table))
+
+
 # ----------------------------------------------- sessions laid out or refreshed
 _LAYOUTS: dict[tuple[str, str], SessionLayout] = {}
 
