@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,18 +85,22 @@ class Warehouse:
         self.publish(name, path)
         return self.spark.read.parquet(path).drop(DAY)
 
-    def stage(self, name: str, df: DataFrame, day: Column | None = None) -> str:
+    def stage(
+        self, name: str, df: DataFrame, day: Column | None = None, observed: Sequence | None = None
+    ) -> str:
         """Write a version that no reader sees yet; its path.
 
         With ``day``, rows are laid out by day. Days are gathered before the
-        write, large ones in several files.
+        write, large ones in several files. ``observed`` (an Observation and its
+        aggregates) sees the rows in the tasks that write them, behind any shuffle:
+        Spark counts those once, however often a lost task is run again.
         """
         path = f"{self.root}/{name}/{uuid.uuid4().hex}"
-        if day is None:
-            df.write.option("compression", "zstd").parquet(path)
-        else:
-            laid_out = df.withColumn(DAY, day).hint("rebalance", DAY)
-            laid_out.write.partitionBy(DAY).option("compression", "zstd").parquet(path)
+        laid_out = df if day is None else df.withColumn(DAY, day).hint("rebalance", DAY)
+        if observed:
+            laid_out = laid_out.observe(*observed)
+        writer = laid_out.write.option("compression", "zstd")
+        (writer if day is None else writer.partitionBy(DAY)).parquet(path)
         return path
 
     def publish(self, name: str, path: str, expected: int | None = None) -> int:
