@@ -1458,6 +1458,37 @@ for _name, _needs, _table in (
     _final = re.sub(rf"\b{_table}\b", f"{_table}_damaged", _FINAL[_name])
     _sql(f"damaged_{_name}", f"{_needs} {_table}_damaged", _final)
 
+# Tables against each other by content: scores as they are (left) and damaged (right).
+_BY_CONTENT = """
+    , sides AS (
+        SELECT session_id, churn_probability, churn_risk_score, risk_band, 1 AS l, 0 AS r FROM score
+        UNION ALL
+        SELECT session_id, churn_probability, churn_risk_score, risk_band, 0 AS l, 1 AS r FROM {other}
+    ), contents AS (
+        SELECT session_id, churn_probability, churn_risk_score, risk_band, sum(l) AS l, sum(r) AS r
+        FROM sides GROUP BY ALL
+    ), differing AS (
+        SELECT session_id, CAST(sum(l) AS BIGINT) AS left_rows, CAST(sum(r) AS BIGINT) AS right_rows,
+               CASE WHEN session_id IS NULL THEN 'no_key' WHEN sum(r) = 0 THEN 'missing_right'
+                    WHEN sum(l) = 0 THEN 'missing_left' WHEN sum(l) <> sum(r) THEN 'row_count'
+                    ELSE 'changed' END AS status
+        FROM contents GROUP BY session_id HAVING bool_or(l <> r) OR session_id IS NULL
+    )
+"""
+_DIGESTS = """
+    SELECT CAST(coalesce(sum(left_rows) FILTER (status IN ('no_key', 'missing_right')), 0) AS BIGINT) AS missing_right,
+           CAST(coalesce(sum(right_rows) FILTER (status IN ('no_key', 'missing_left')), 0) AS BIGINT) AS missing_left,
+           count(*) FILTER (status = 'row_count') AS repeated_keys,
+           count(*) FILTER (status = 'changed') AS changed_keys, count(*) = 0 AS passed
+    FROM differing
+"""
+for _name, _other, _final in (
+    ("damaged_score_differences", "score_damaged", "SELECT * FROM differing"),
+    ("damaged_score_digests", "score_damaged", _DIGESTS),
+    ("score_digests", "score", _DIGESTS),
+):
+    _sql(_name, f"score {'' if _other == 'score' else _other}", _BY_CONTENT.format(other=_other) + _final)
+
 
 # --------------------------------------------------- what holds of any model
 _sql(

@@ -21,6 +21,7 @@ from clickloom.functions.segments import hot_keys
 from clickloom.operators import (
     contracts,
     diagnostics,
+    digests,
     experiments,
     features,
     funnel,
@@ -497,6 +498,20 @@ def _damaged_session_reconciliation(spark, sf):
     )
 
 
+def _score_digests(name: str, report, damaged: bool) -> None:
+    def query(spark, sf):
+        scores = _scores(spark, sf)
+        other = _damaged("score", scores) if damaged else scores
+        return report(scores, other, "session_id", ["churn_probability", "churn_risk_score", "risk_band"])
+
+    _REGISTRY[name] = query
+
+
+_score_digests("damaged_score_differences", digests.differing, True)
+_score_digests("damaged_score_digests", digests.reconciliation, True)
+_score_digests("score_digests", digests.reconciliation, False)
+
+
 @_query("damaged_score_contract")
 def _damaged_score_contract(spark, sf):
     scores = _damaged("score", _scores(spark, sf))
