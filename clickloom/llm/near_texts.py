@@ -18,7 +18,8 @@ texts of a block's group and holds them against the others; texts found to be
 linked, through whatever other texts, need no further test, so a group of near
 copies is done after its first star. A group is done when all its texts are in
 one component or all pairs across components are tested: no linked pair of a
-group is lost, and no round makes more than ``AT_ONCE`` pairs a text.
+group is lost, no round makes more than ``AT_ONCE`` pairs a text, and no pair is
+verified twice, however many blocks its texts share.
 
 Defined results: letters A-Z count as a-z and white space as one space; texts
 equal after that are one text; a text of fewer words than a shingle is one
@@ -31,6 +32,7 @@ text; an empty table gives an empty result; other columns may have any names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -147,21 +149,36 @@ def most_in_common(map_a: Column, n_a: Column, map_b: Column, n_b: Column) -> Co
     return both + F.least(n_a - ones(map_a), n_b - ones(map_b))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """Of the pairs (a, b), those whose texts are similar enough.
+def _together(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
 
-    Shingles are made of the texts that occur in a pair only, once a text.
-    """
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+
+def _keys_of(pairs: DataFrame) -> DataFrame:
+    """The texts of some pairs; written, so that Spark knows when they are few enough to broadcast."""
+    return stored(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), "near-wanted")
+
+
+def _with_shingles(made: list[DataFrame], pairs: DataFrame, docs: DataFrame) -> list[DataFrame]:
+    """Shingles and maps of all texts that occur in a pair: those of former rounds and the new ones."""
+    wanted = _keys_of(pairs)
+    if made:
+        known = _together([part.select("key") for part in made])
+        wanted = stored(wanted.join(known, "key", "left_anti"), "near-wanted")
     texts = docs.select(text_key(F.col("text")).alias("key"), "text").join(wanted, "key", "left_semi")
-    made = texts.mapInArrow(_shingled, "key string, shingles array<bigint>, map array<bigint>").dropDuplicates(["key"])
-    made = stored(made, "near-shingles")
+    new = texts.mapInArrow(_shingled, "key string, shingles array<bigint>, map array<bigint>").dropDuplicates(["key"])
+    return [*made, stored(new, "near-shingles")]
+
+
+def _verified(pairs: DataFrame, made: DataFrame, similarity: float) -> DataFrame:
+    """Of the pairs (a, b), those whose texts are similar enough."""
 
     def side(name: str, *columns: str) -> DataFrame:
-        return made.select(
+        return of_pairs.select(
             F.col("key").alias(name), F.size("shingles").alias(f"n_{name}"), *[F.col(c).alias(f"{c}_{name}") for c in columns]
         )
 
+    # Only the rows of texts that occur are moved.
+    of_pairs = made.join(_keys_of(pairs), "key", "left_semi")
     most = most_in_common(F.col("map_a"), F.col("n_a"), F.col("map_b"), F.col("n_b"))
     likely = stored(
         pairs.join(side("b", "map"), "b").join(side("a", "map"), "a")
@@ -169,6 +186,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame
         .select("a", "b"),
         "near-likely",
     )
+    of_pairs = made.join(_keys_of(likely), "key", "left_semi")
     both = F.size(F.array_intersect("shingles_a", "shingles_b"))
     union = F.col("n_a") + F.col("n_b") - both
     return (
@@ -180,10 +198,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame
 
 def _roots(edges: list[DataFrame]) -> DataFrame:
     """key and root of all keys on an edge, the roots themselves among them."""
-    together = edges[0]
-    for more in edges[1:]:
-        together = together.unionByName(more)
-    found = components(together.distinct()).select(F.col("node").alias("key"), "root")
+    found = components(_together(edges).distinct()).select(F.col("node").alias("key"), "root")
     return stored(found.unionByName(found.select(F.col("root").alias("key"), "root").distinct()), "near-roots")
 
 
@@ -203,6 +218,8 @@ def links(docs: DataFrame, similarity: float, blocks: int, bits: int, at_once: i
     open_rows = stored(keys.join(shared, group), "near-open")
     edges = [docs.sparkSession.createDataFrame([], "a string, b string")]
     roots = docs.sparkSession.createDataFrame([], "key string, root string")
+    tested: list[DataFrame] = []  # pairs of former rounds: texts that share several blocks meet in several groups
+    made: list[DataFrame] = []  # shingles of the texts of those pairs
     take = 1  # a star a group, then two, four, ...: few stars connect a group of near copies
     while not open_rows.isEmpty():
         named = open_rows.join(roots, "key", "left").select(
@@ -237,10 +254,16 @@ def links(docs: DataFrame, similarity: float, blocks: int, bits: int, at_once: i
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
             .distinct()
         )
+        if tested:
+            pairs = pairs.join(_together(tested), ["a", "b"], "left_anti")
         pairs = stored(pairs, "near-pairs")
         if not pairs.isEmpty():
-            edges.append(stored(_verified(pairs, docs, similarity), "near-edges"))
-            roots = _roots(edges)
+            tested.append(pairs)
+            made = _with_shingles(made, pairs, docs)
+            found = stored(_verified(pairs, _together(made), similarity), "near-edges")
+            if not found.isEmpty():
+                edges.append(found)
+                roots = _roots(edges)
         open_rows = stored(
             active.join(taken.select("key", *group), ["key", *group], "left_anti").select("key", "lead", *group),
             "near-open",
