@@ -8,8 +8,9 @@ not are exchanged, by key. Equal tables exchange at most 256 rows a task and
 are each read once.
 
 A digest is the signed number of rows, the xor of 64-bit hashes of their
-contents and the signed sum of the lower halves of those hashes. A range whose
-contents differ cancels out by chance in about one of 2**64 cases; what is named
+contents and the signed sum of those hashes (the xor of contents that occur twice
+is 0, the sum is not). A range whose contents differ cancels out by chance in about
+one of 2**64 cases; what is named
 as differing is always exact, up to equal 64-bit hashes of two contents of one key.
 
 Defined results: a NULL key matches nothing, so its rows differ, on both sides;
@@ -28,7 +29,6 @@ from clickloom.functions.columns import tally
 
 RANGES = 256
 _BITS = 8  # of a level
-_LOW = 0xFFFFFFFF
 _KEY = "_key"  # the key's name within, where no other column of a table is
 
 
@@ -51,11 +51,12 @@ def _signed(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str])
 
 def _digests(rows: DataFrame, by: str) -> DataFrame:
     """The digest of each range, part or key; folded by each task before the shuffle."""
+    whole = F.col("content").cast("decimal(20,0)")  # its sum has room for 10**11 rows of a range
     return rows.groupBy(by).agg(
         F.sum(F.when(F.col("side") > 0, 1).otherwise(0)).alias("left_rows"),
         F.sum(F.when(F.col("side") < 0, 1).otherwise(0)).alias("right_rows"),
         F.bit_xor("content").alias("crossed"),
-        F.sum(F.col("side") * F.col("content").bitwiseAND(F.lit(_LOW))).alias("summed"),
+        F.sum(F.when(F.col("side") > 0, whole).otherwise(-whole)).alias("summed"),
         F.count_if(F.col(_KEY).isNull()).alias("without_key"),
     )
 
