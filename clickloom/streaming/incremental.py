@@ -18,6 +18,7 @@ from clickloom.operators.funnel import with_reached_flags
 from clickloom.operators.quality import quality_report
 from clickloom.sources.landing import conform
 from clickloom.streaming.accepted import accepted_before, record
+from clickloom.streaming.continued import FunnelVersions
 
 
 def landing_stream(spark: SparkSession, landing_glob: str) -> DataFrame:
@@ -51,8 +52,11 @@ def deduplicated(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
     return _clocked(stream, lateness).dropDuplicatesWithinWatermark(["event_id"]).drop(_CLOCK)
 
 
-def append_events(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append a stream to a Parquet table; exactly once by the file sink's log."""
+def append_events(stream: DataFrame | FunnelVersions, path: str, checkpoint: str) -> StreamingQuery:
+    """Append a stream to a Parquet table; exactly once by the file sink's log, or by
+    folders of the batches' numbers where the stream keeps a state of its own."""
+    if isinstance(stream, FunnelVersions):
+        return stream.append_to(path, checkpoint)
     return (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
