@@ -6,7 +6,8 @@ first event. A landing adds events to its days. A refresh then
 
 1. takes the sessions of the events added since the last refresh (the change set),
 2. looks up which days those sessions were on before (table ``session_days``),
-3. reads the events of those days and computes the tables for these sessions only,
+3. reads the events of those days and computes the tables for these sessions only
+   (the first refresh touches every session and takes the events as they lie),
 4. rewrites, of each table, the home days these sessions had or now have: the
    other sessions' rows are kept, theirs are replaced.
 
@@ -23,12 +24,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.segments import hot_keys
 from clickloom.operators import features, funnel, velocity
-from clickloom.operators.quality import quality_report
+from clickloom.operators.quality import report_of_counted, row_counters
 from clickloom.session import fresh_folder
 from clickloom.sources.dayparts import DayTable, days_between, ddl
 from clickloom.sources.landing import read_events
@@ -89,9 +90,10 @@ class IncrementalWarehouse:
         landed = read_events(self.spark, *paths)
         day = "to_date(event_timestamp)"
         path = fresh_folder(self.spark, "landing")
-        landed.write.option("compression", "zstd").parquet(path)
+        seen = Observation()
+        landed.observe(seen, *row_counters()).write.option("compression", "zstd").parquet(path)
         landed = self.spark.read.schema(landed.schema).parquet(path)
-        report = quality_report(landed)
+        report = report_of_counted(landed, seen.get)
         result = report.first()
         repeated = 0
         if self.events.log.latest():
@@ -131,9 +133,12 @@ class IncrementalWarehouse:
         spans = before.select(HOME, "last_day").distinct().collect()
         new_days = {f.rpartition("=")[2] for f in folders}
         days = new_days.union(*[days_between(*span) for span in spans])
-        events = self._stored(
-            self.events.read(days, number=upto).join(touched, "session_id", "left_semi"), "touched-events"
-        )
+        if mark:
+            events = self._stored(
+                self.events.read(days, number=upto).join(touched, "session_id", "left_semi"), "touched-events"
+            )
+        else:  # all events are added ones, so every session is touched
+            events = self.events.read(number=upto).where(F.col("session_id").isNotNull())
         now = self._stored(session_days(events), "session-days")
         homes = {r[0].isoformat() for r in before.select(HOME).union(now.select(HOME)).distinct().collect()}
         if len({known_state.get("events", 0), *marks.values()}) > 1:

@@ -140,3 +140,20 @@ def test_refreshes_do_not_overwrite_each_other(spark, folder):
     with pytest.raises(CommitConflict):
         part.replace(["2026-01-01"], late, "home_day date, a int", state)
     assert set(S.FUNNEL_STEPS) <= set(NAMES) and part.read().where(F.col("session_id") == "a").count() <= 1
+
+
+def test_the_first_refresh_takes_the_events_as_they_lie(spark, folder, monkeypatch):
+    """No copy of the touched sessions' events where all sessions are touched; later ones make it."""
+    copies = []
+    stored = IncrementalWarehouse._stored
+    monkeypatch.setattr(IncrementalWarehouse, "_stored", lambda self, df, label: copies.append(label) or stored(self, df, label))
+    warehouse = IncrementalWarehouse(spark, f"{folder}/w")
+    data = made([1, 2], [f"s{i}" for i in range(30)], 8)
+    land(spark, warehouse, folder, data, 1)
+    assert warehouse.refresh().sessions == 30
+    assert "touched-events" not in copies
+    more = made([3], ["s3", "t1"], 9, prefix="f")
+    land(spark, warehouse, folder, more, 2)
+    assert warehouse.refresh().sessions == 2
+    assert "touched-events" in copies
+    check(spark, warehouse, data + more)
