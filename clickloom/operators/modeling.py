@@ -20,6 +20,7 @@ from clickloom.operators.risk import risk_scores
 _NUMERIC = list(S.NUMERIC_FEATURES)
 _CATEGORICAL = list(S.CATEGORICAL_FEATURES)
 _WEIGHT = "class_weight"
+_LEAF = 20  # sessions of a leaf, at least
 
 LOGISTIC = "Logistic Regression"
 BOOSTING = "Gradient Boosting"
@@ -117,27 +118,41 @@ def train_logistic(features: DataFrame, max_iter: int = 1000) -> PipelineModel:
 
 
 def train_boosting(features: DataFrame, max_iter: int = 200, seed: int = 42) -> PipelineModel:
-    """Gradient boosted trees: step 0.05, 200 rounds, up to 32 leaves."""
+    """Gradient boosted trees: step 0.05, 200 rounds, up to 32 leaves of 20 sessions or more.
+
+    Sessions equal in all features and the label are one row with their number as
+    its weight: they fall into one leaf in every round, and each round passes over
+    the rows once a level. A leaf's sessions are the sum of its weights.
+    """
+    n = sum(_label_counts(features).values())
     estimator = GBTClassifier(
         labelCol=LABEL,
+        weightCol=_WEIGHT,
         stepSize=0.05,
         maxIter=max_iter,
         maxDepth=5,
         maxBins=256,
-        minInstancesPerNode=20,
+        # weights are whole numbers: half a session less than 20, so that rounding decides nothing
+        minWeightFractionPerNode=min((_LEAF - 0.5) / max(n, 1), 0.499),
         seed=seed,
     )
-    return _fit_prepared(features, estimator)
+    return _fit_prepared(features, estimator, folded(features))
+
+
+def folded(features: DataFrame) -> DataFrame:
+    """The distinct rows of features and label, with the number of sessions that have them."""
+    count = F.count(F.lit(1)).cast("double").alias(_WEIGHT)
+    return features.groupBy(*_NUMERIC, *_CATEGORICAL, LABEL).agg(count)
 
 
-def _fit_prepared(features: DataFrame, estimator) -> PipelineModel:
-    """Fit the preprocessing, then the estimator on its output.
+def _fit_prepared(features: DataFrame, estimator, rows: DataFrame | None = None) -> PipelineModel:
+    """Fit the preprocessing, then the estimator on its output, for ``rows`` if given.
 
     Not persisted here: the estimators keep their own compact form of the rows,
     but only while their input is not persisted.
     """
     ready = Pipeline(stages=preprocessing_stages()).fit(features)
-    fitted = estimator.fit(ready.transform(features))
+    fitted = estimator.fit(ready.transform(features if rows is None else rows))
     return PipelineModel(stages=[*ready.stages, fitted])
 
 

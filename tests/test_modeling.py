@@ -96,3 +96,30 @@ def test_score_table(table, logistic):
                            "reached_checkout", "purchased", "churn_probability",
                            "churn_risk_score", "risk_band"]
     assert got.where("churn_risk_score NOT BETWEEN 0 AND 100").count() == 0
+
+
+def test_boosting_folds_equal_sessions(spark, table):
+    """Equal sessions are one weighted row of the fit; the trees are those of the rows one by one."""
+    import pyspark.ml.classification as C
+
+    twice = table.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2)))).drop("n").withColumn(
+        "observed_session_duration_minutes", F.round("observed_session_duration_minutes", 0)
+    )
+    rows_of = M.folded(twice)
+    assert rows_of.agg(F.sum("class_weight")).first()[0] == twice.count() == 1200
+    assert rows_of.count() <= 600
+    seen, fit = [], C.GBTClassifier.fit
+    C.GBTClassifier.fit = lambda self, data: seen.append(data.count()) or fit(self, data)
+    try:
+        got = M.with_probability(M.train_boosting(twice, 5), twice)
+    finally:
+        C.GBTClassifier.fit = fit
+    assert seen == [rows_of.count()]
+    plain = C.GBTClassifier(
+        labelCol="churned", stepSize=0.05, maxIter=5, maxDepth=5, maxBins=256, minInstancesPerNode=20, seed=42
+    )
+    want = M.with_probability(M._fit_prepared(twice, plain), twice)
+    both = got.select("session_id", "churn_probability").distinct().join(
+        want.select("session_id", F.col("churn_probability").alias("p")).distinct(), "session_id"
+    )
+    assert both.where(F.abs(F.col("churn_probability") - F.col("p")) > 1e-9).count() == 0 and both.count() >= 600
