@@ -41,6 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import SPACE_CHARS, SPACES, ship, stored
+from clickloom.llm.exact_dedup import filter_bits, maybe_set, set_positions
 from clickloom.llm.simhash import components, free_name, one_a_component
 
 SIMILARITY = 0.8
@@ -48,10 +49,12 @@ SHINGLE = 5  # words, of the similarity
 PRINT_SHINGLE = 2  # words, of the fingerprint
 BLOCKS, BLOCK_BITS = 40, 24
 LEAD = 2  # longs of the fingerprint that travel with each key
+LEADS = [f"lead_{i}" for i in range(LEAD)]
 LEAD_DISTANCE = 32  # of 128 bits; unrelated texts differ in about 60
 AT_ONCE = 128
 BITS_AT_ONCE = 4096
 MAP_LONGS = 64  # longs of a text's map of shingles
+PIECE = 256  # texts that a worker hashes together
 SEED = 42
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -99,43 +102,49 @@ def block_values(wide: np.ndarray, blocks: int, bits: int) -> np.ndarray:
     return each.astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
 
 
+def shingle_map(hashes: np.ndarray) -> np.ndarray:
+    """Which of ``MAP_LONGS`` x 64 equal ranges the hashes of shingles fall into, as bits."""
+    bits = np.zeros(MAP_LONGS * 64, np.uint8)
+    bits[hashes // np.uint64(2**64 // bits.size)] = 1
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in small parts: a worker holds the hashes of ``PIECE`` texts at a time, not of a whole batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PIECE):
+            yield batch.slice(at, PIECE)
+
+
 def _prints(blocks: int, bits: int):
     longs = max(LEAD, -(-blocks * bits // 64))
+    parts = np.arange(blocks, dtype=np.int64) << bits
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text")
-            wides = [wide_print(texts[i].as_py(), longs) for i in range(len(texts))]
-            keys = [block_values(w, blocks, bits) for w in wides]
-            lead = [w[:LEAD].view(np.int64) for w in wides]
+        for batch in _pieces(batches):
+            texts = [text.as_py() for text in batch.column("text")]
+            wides = [wide_print(text, longs) for text in texts]
+            rows = [shingles(text, SHINGLE) for text in texts]
+            lead = np.stack([w[:LEAD].view(np.int64) for w in wides])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(keys, pa.list_(pa.int64())), pa.array(lead, pa.list_(pa.int64()))],
-                ["key", "blocks", "lead"],
+                [
+                    batch.column("key"),
+                    batch.column("hash"),
+                    pa.array([len(r) for r in rows], pa.int32()),
+                    *[pa.array(lead[:, i]) for i in range(LEAD)],
+                    pa.array([parts + block_values(w, blocks, bits) for w in wides], pa.list_(pa.int64())),
+                    pa.array([shingle_map(r) for r in rows], pa.list_(pa.int64())),
+                ],
+                ["key", "hash", "n", *LEADS, "blocks", "map"],
             )
 
     return work
 
 
-def shingle_map(hashes: np.ndarray) -> np.ndarray:
-    """Which of ``MAP_LONGS`` x 64 equal ranges the hashes of shingles fall into, as bits."""
-    bits = np.zeros(MAP_LONGS * 64, np.uint8)
-    bits[hashes // np.uint64(2**64 // bits.size)] = 1
-    return np.packbits(bits, bitorder="little").view("<i8")
-
-
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column("text")
-        rows = [shingles(texts[i].as_py(), SHINGLE) for i in range(len(texts))]
-        maps = [shingle_map(r) for r in rows]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("key"),
-                pa.array([r.view(np.int64) for r in rows], pa.list_(pa.int64())),
-                pa.array(maps, pa.list_(pa.int64())),
-            ],
-            ["key", "shingles", "map"],
-        )
+    for batch in _pieces(batches):
+        rows = [shingles(text.as_py(), SHINGLE).view(np.int64) for text in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, pa.list_(pa.int64()))], ["id", "shingles"])
 
 
 def most_in_common(map_a: Column, n_a: Column, map_b: Column, n_b: Column) -> Column:
@@ -153,105 +162,144 @@ def _together(tables: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)
 
 
-def _keys_of(pairs: DataFrame) -> DataFrame:
-    """The texts of some pairs; written, so that Spark knows when they are few enough to broadcast."""
-    return stored(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), "near-wanted")
+def _ids_of(pairs: DataFrame) -> DataFrame:
+    """The texts of some pairs."""
+    return stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "near-wanted")
+
+
+def _among(rows: DataFrame, key: str, chosen: DataFrame) -> DataFrame:
+    """``rows`` with flag ``among``: true where ``key`` is one of ``chosen``, and for few others.
+
+    Told by a filter of bounded size, so that no row has to move to be told apart.
+    """
+    bits = filter_bits(chosen.count())
+    present = stored(set_positions(chosen, F.col(key), bits, least=1), "near-filter")
+    return maybe_set(rows, F.col(key), present, bits, "among")
+
+
+def _only(rows: DataFrame, key: str, chosen: DataFrame) -> DataFrame:
+    """All rows whose ``key`` is one of ``chosen``, and few others."""
+    return _among(rows, key, chosen).where("among").drop("among")
 
 
-def _with_shingles(made: list[DataFrame], pairs: DataFrame, docs: DataFrame) -> list[DataFrame]:
-    """Shingles and maps of all texts that occur in a pair: those of former rounds and the new ones."""
-    wanted = _keys_of(pairs)
+def _with_shingles(made: list[DataFrame], pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> list[DataFrame]:
+    """Shingles of all texts that occur in a pair: those of former rounds and the new ones.
+
+    The texts are found by a fast hash first; only what that leaves is held against the keys.
+    """
+    wanted = _ids_of(pairs)
     if made:
-        known = _together([part.select("key") for part in made])
-        wanted = stored(wanted.join(known, "key", "left_anti"), "near-wanted")
-    texts = docs.select(text_key(F.col("text")).alias("key"), "text").join(wanted, "key", "left_semi")
-    new = texts.mapInArrow(_shingled, "key string, shingles array<bigint>, map array<bigint>").dropDuplicates(["key"])
+        known = _together([part.select("id") for part in made])
+        wanted = stored(wanted.join(known, "id", "left_anti"), "near-wanted")
+    if wanted.isEmpty():
+        return made
+    named = _only(texts.select("id", "key", "hash"), "id", wanted).join(wanted, "id", "left_semi")
+    named = stored(named.select("id", "key", "hash"), "near-named")
+    found = _only(docs.select("text", F.xxhash64("text").alias("hash")), "hash", named)
+    found = found.select(text_key(F.col("text")).alias("key"), "text").groupBy("key").agg(F.first("text").alias("text"))
+    new = found.join(named, "key").select("id", "text").mapInArrow(_shingled, "id bigint, shingles array<bigint>")
     return [*made, stored(new, "near-shingles")]
 
 
-def _verified(pairs: DataFrame, made: DataFrame, similarity: float) -> DataFrame:
-    """Of the pairs (a, b), those whose texts are similar enough."""
+def _sides(pairs: DataFrame, of_texts: DataFrame, *columns: str) -> DataFrame:
+    """The pairs with ``columns`` of both texts; only the rows of texts that occur are moved."""
+    rows = _only(of_texts.select("id", *columns), "id", _ids_of(pairs))
+    for name in ("b", "a"):
+        side = rows.select(F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+        pairs = pairs.join(side, name)
+    return pairs
 
-    def side(name: str, *columns: str) -> DataFrame:
-        return of_pairs.select(
-            F.col("key").alias(name), F.size("shingles").alias(f"n_{name}"), *[F.col(c).alias(f"{c}_{name}") for c in columns]
-        )
 
-    # Only the rows of texts that occur are moved.
-    of_pairs = made.join(_keys_of(pairs), "key", "left_semi")
+def _likely(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Of the pairs (a, b), those that the maps of their texts cannot rule out."""
     most = most_in_common(F.col("map_a"), F.col("n_a"), F.col("map_b"), F.col("n_b"))
-    likely = stored(
-        pairs.join(side("b", "map"), "b").join(side("a", "map"), "a")
-        .where(most >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - most))
-        .select("a", "b"),
-        "near-likely",
-    )
-    of_pairs = made.join(_keys_of(likely), "key", "left_semi")
-    both = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    union = F.col("n_a") + F.col("n_b") - both
     return (
-        likely.join(side("b", "shingles"), "b").join(side("a", "shingles"), "a")
-        .where(both >= F.lit(similarity) * union)
+        _sides(pairs, texts, "n", "map")
+        .where(most >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - most))
         .select("a", "b")
     )
 
 
-def _roots(edges: list[DataFrame]) -> DataFrame:
-    """key and root of all keys on an edge, the roots themselves among them."""
-    found = components(_together(edges).distinct()).select(F.col("node").alias("key"), "root")
-    return stored(found.unionByName(found.select(F.col("root").alias("key"), "root").distinct()), "near-roots")
+def _verified(pairs: DataFrame, made: DataFrame, similarity: float) -> DataFrame:
+    """Of the pairs (a, b), those whose texts are similar enough."""
+    both = F.size(F.array_intersect("shingles_a", "shingles_b"))
+    union = F.size("shingles_a") + F.size("shingles_b") - both
+    return _sides(pairs, made, "shingles").where(both >= F.lit(similarity) * union).select("a", "b")
+
+
+def _roots(edges: DataFrame) -> DataFrame:
+    """id and root of all texts on an edge, the roots themselves among them."""
+    found = components(edges.distinct()).select(F.col("node").alias("id"), "root")
+    return stored(found.unionByName(found.select(F.col("root").alias("id"), "root").distinct()), "near-roots")
+
+
+def _texts(docs: DataFrame, blocks: int, bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The prints of all rows, each with a number of its own; of those one row a text; keys of several rows."""
+    ship(docs.sparkSession)
+    fields = ["key string, hash bigint, n int", *[f"{c} bigint" for c in LEADS], "blocks array<bigint>, map array<bigint>"]
+    keyed = docs.select(text_key(F.col("text")).alias("key"), F.xxhash64("text").alias("hash"), "text")
+    prints = keyed.mapInArrow(_prints(blocks, bits), ", ".join(fields))
+    rows = stored(prints.withColumn("id", F.monotonically_increasing_id()), "near-prints")
+    firsts = rows.groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    repeated = stored(firsts.where("n > 1").select("key", "id"), "near-repeated")
+    if repeated.isEmpty():
+        return rows, rows, repeated
+    # Only rows of repeated texts are held against the first of their text.
+    flagged = _among(rows, "key", repeated)
+    copies = flagged.where("among")
+    firsts = stored(copies.groupBy("key").agg(F.min("id").alias("id")).select("id"), "near-firsts")
+    once = flagged.where(~F.col("among")).unionByName(copies.join(firsts, "id", "left_semi")).drop("among")
+    return rows, once, repeated
 
 
 def links(docs: DataFrame, similarity: float, blocks: int, bits: int, at_once: int = AT_ONCE) -> DataFrame:
     """key and root of all texts that are linked to another one."""
-    ship(docs.sparkSession)
-    keyed = docs.select(text_key(F.col("text")).alias("key"), "text")
-    prints = keyed.mapInArrow(_prints(blocks, bits), "key string, blocks array<bigint>, lead array<bigint>")
-    keys = stored(
-        prints.dropDuplicates(["key"])
-        .select("key", "lead", F.posexplode("blocks").alias("part", "bits")),
-        "near-keys",
+    return _links(docs, *_texts(docs, blocks, bits)[:2], similarity, at_once)
+
+
+def _links(docs: DataFrame, texts: DataFrame, once: DataFrame, similarity: float, at_once: int) -> DataFrame:
+    said = ["id", "n", *LEADS, "block"]  # what a text takes along to each of its groups
+    keys = once.select("id", "n", *LEADS, F.explode("blocks").alias("block"))
+    shared = stored(
+        keys.groupBy("block").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("block"), "near-groups"
     )
-    group = ["part", "bits"]
-    shared = stored(keys.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "near-groups")
     # What is still to be tested: texts by group, one row a text and group.
-    open_rows = stored(keys.join(shared, group), "near-open")
-    edges = [docs.sparkSession.createDataFrame([], "a string, b string")]
-    roots = docs.sparkSession.createDataFrame([], "key string, root string")
+    open_rows = stored(_only(keys, "block", shared).join(shared, "block", "left_semi").select(*said), "near-open")
+    roots: DataFrame | None = None
     tested: list[DataFrame] = []  # pairs of former rounds: texts that share several blocks meet in several groups
     made: list[DataFrame] = []  # shingles of the texts of those pairs
     take = 1  # a star a group, then two, four, ...: few stars connect a group of near copies
     while not open_rows.isEmpty():
-        named = open_rows.join(roots, "key", "left").select(
-            "key", "lead", *group, F.coalesce("root", "key").alias("root")
-        )
-        sizes = named.groupBy(*group, "root").agg(F.count(F.lit(1)).alias("n"))
+        named = open_rows.withColumn("root", F.col("id"))
+        if roots is not None:
+            named = open_rows.join(roots, "id", "left").select(*said, F.coalesce("root", "id").alias("root"))
+            named = stored(named, "near-rooted")
+        sizes = named.groupBy("block", "root").agg(F.count(F.lit(1)).alias("size"))
         # The largest component of the group; done if it is the only one.
-        most = sizes.groupBy(*group).agg(
-            F.max(F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("parts")
+        most = sizes.groupBy("block").agg(
+            F.max(F.struct("size", "root")).alias("most"), F.count(F.lit(1)).alias("parts")
         )
+        most = most.where("parts > 1").select("block", F.col("most.root").alias("main"))
         active = stored(
-            named.join(most.where("parts > 1"), group).select(
-                "key", "lead", *group, "root", (F.col("root") != F.col("most.root")).alias("other")
-            ),
+            named.join(most, "block").select(*said, "root", (F.col("root") != F.col("main")).alias("other")),
             "near-active",
         )
-        order = Window.partitionBy(*group).orderBy("key")
+        order = Window.partitionBy("block").orderBy("id")
         taken = stored(
             active.where("other").withColumn("place", F.row_number().over(order)).where(F.col("place") <= take).drop("place"),
             "near-taken",
         )
         a, b = (
-            side.select(*group, F.col("key").alias(n), F.col("lead").alias(f"lead_{n}"), F.col("root").alias(f"root_{n}"))
+            side.select("block", *[F.col(c).alias(f"{c}_{n}") for c in ("id", "n", "root", *LEADS)])
             for side, n in ((taken, "x"), (active, "y"))
         )
-        apart = sum(
-            (F.bit_count(F.col("lead_x")[i].bitwiseXOR(F.col("lead_y")[i])) for i in range(LEAD)), start=F.lit(0)
-        )
+        apart = sum((F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in LEADS), start=F.lit(0))
+        # Texts have no more in common than the shorter has shingles, and no fewer in all than the longer.
+        long_enough = F.least("n_x", "n_y") >= F.lit(similarity) * F.greatest("n_x", "n_y")
         pairs = (
-            a.join(b, group)
-            .where((F.col("root_x") != F.col("root_y")) & (apart <= LEAD_DISTANCE))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+            a.join(b, "block")
+            .where((F.col("root_x") != F.col("root_y")) & long_enough & (apart <= LEAD_DISTANCE))
+            .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
             .distinct()
         )
         if tested:
@@ -259,29 +307,30 @@ def links(docs: DataFrame, similarity: float, blocks: int, bits: int, at_once: i
         pairs = stored(pairs, "near-pairs")
         if not pairs.isEmpty():
             tested.append(pairs)
-            made = _with_shingles(made, pairs, docs)
-            found = stored(_verified(pairs, _together(made), similarity), "near-edges")
-            if not found.isEmpty():
-                edges.append(found)
-                roots = _roots(edges)
-        open_rows = stored(
-            active.join(taken.select("key", *group), ["key", *group], "left_anti").select("key", "lead", *group),
-            "near-open",
-        )
+            likely = stored(_likely(pairs, texts, similarity), "near-likely")
+            if not likely.isEmpty():
+                made = _with_shingles(made, likely, texts, docs)
+                found = stored(_verified(likely, _together(made), similarity), "near-edges")
+                if not found.isEmpty():
+                    if roots is not None:
+                        found = found.unionByName(roots.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
+                    roots = _roots(found)
+        open_rows = stored(active.join(taken.select("id", "block"), ["id", "block"], "left_anti").select(*said), "near-open")
         take = min(2 * take, at_once)
-    return roots
+    if roots is None:
+        return docs.sparkSession.createDataFrame([], "key string, root bigint")
+    return stored(_only(texts.select("id", "key"), "id", roots).join(roots, "id").select("key", "root"), "near-linked")
 
 
 def deduplicate(
     docs: DataFrame, similarity: float = SIMILARITY, blocks: int = BLOCKS, block_bits: int = BLOCK_BITS
 ) -> DataFrame:
     """One document of each component of near duplicates, with all its columns: the smallest doc_id."""
-    roots = links(docs, similarity, blocks, block_bits)
+    texts, once, repeated = _texts(docs, blocks, block_bits)
+    roots = _links(docs, texts, once, similarity, AT_ONCE)
     name = free_name(docs, "_key")
     rows = docs.withColumn(name, text_key(F.col("text")))
     # Equal texts are one key; a key with several rows is a component as well.
-    repeated = (
-        rows.groupBy(F.col(name).alias("key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    )
-    shared = stored(roots.join(repeated, "key", "full").select("key", F.coalesce("root", "key").alias("root")), "near-shared")
+    root = F.coalesce(F.col("root").cast("string"), "key").alias("root")
+    shared = stored(roots.join(repeated.select("key"), "key", "full").select("key", root), "near-shared")
     return one_a_component(rows, name, shared, docs.columns)

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import ODD, clashing, collected, make_docs, odd  # noqa: F401
 from pyspark.sql import functions as F
@@ -142,3 +143,27 @@ def test_maps_never_rule_out_what_is_common(spark):
     bounds = [r.most for r in maps.select("n", most.alias("most")).orderBy("n").collect()]
     assert all(b >= c for b, c in zip(bounds, common, strict=True))
     assert bounds[3] <= 1.2 * common[3]  # and tells something about texts of usual length
+
+
+def test_workers_hash_few_texts_at_a_time():
+    """One large batch leaves the workers in small parts, every row once and in order."""
+    n = 3 * near_texts.PIECE + 5
+    texts = [f"a{i} b c d e f{i}" for i in range(n)]
+    batch = pa.RecordBatch.from_pydict({"key": [str(i) for i in range(n)], "hash": list(range(n)), "id": list(range(n)), "text": texts})
+    for work, name in ((near_texts._prints(4, 24), "key"), (near_texts._shingled, "id")):
+        parts = list(work(iter([batch])))
+        assert max(p.num_rows for p in parts) <= near_texts.PIECE
+        assert [v for p in parts for v in p.column(name).to_pylist()] == batch.column(name).to_pylist()
+
+
+def test_texts_without_a_pair_never_move(spark):
+    """Both sides of a few pairs are found among many texts; only about their rows enter a shuffle."""
+    texts = spark.range(20_000).select("id", F.col("id").cast("int").alias("n"))
+    pairs = spark.createDataFrame([(i, i + 100) for i in range(0, 1000, 10)], "a long, b long")
+    wanted = {i for a in range(0, 1000, 10) for i in (a, a + 100)}
+    few = near_texts._only(texts, "id", near_texts._ids_of(pairs))
+    got = {r.id for r in few.collect()}
+    assert wanted <= got and len(got) < 2 * len(wanted)
+    assert "hashpartitioning(id" not in few._jdf.queryExecution().sparkPlan().toString()
+    sides = near_texts._sides(pairs, texts, "n").collect()
+    assert sorted((r.a, r.b, r.n_a, r.n_b) for r in sides) == [(i, i + 100, i, i + 100) for i in range(0, 1000, 10)]
