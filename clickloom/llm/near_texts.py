@@ -54,6 +54,7 @@ LEAD_DISTANCE = 32  # of 128 bits; unrelated texts differ in about 60
 AT_ONCE = 128
 BITS_AT_ONCE = 4096
 MAP_LONGS = 64  # longs of a text's map of shingles
+FEW = 20_000  # keys that are broadcast as they are; a filter is made of more
 PIECE = 256  # texts that a worker hashes together
 SEED = 42
 
@@ -178,16 +179,17 @@ def _among(rows: DataFrame, key: str, chosen: DataFrame) -> DataFrame:
 
 
 def _only(rows: DataFrame, key: str, chosen: DataFrame) -> DataFrame:
-    """All rows whose ``key`` is one of ``chosen``, and few others."""
+    """All rows whose ``key`` is one of ``chosen``, and few others; none moves."""
+    if chosen.count() <= FEW:
+        return rows.join(F.broadcast(chosen.select(key)), key, "left_semi")
     return _among(rows, key, chosen).where("among").drop("among")
 
 
-def _with_shingles(made: list[DataFrame], pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> list[DataFrame]:
-    """Shingles of all texts that occur in a pair: those of former rounds and the new ones.
+def _with_shingles(made: list[DataFrame], wanted: DataFrame, texts: DataFrame, docs: DataFrame) -> list[DataFrame]:
+    """Shingles of all wanted texts: those of former rounds and the new ones.
 
     The texts are found by a fast hash first; only what that leaves is held against the keys.
     """
-    wanted = _ids_of(pairs)
     if made:
         known = _together([part.select("id") for part in made])
         wanted = stored(wanted.join(known, "id", "left_anti"), "near-wanted")
@@ -201,9 +203,9 @@ def _with_shingles(made: list[DataFrame], pairs: DataFrame, texts: DataFrame, do
     return [*made, stored(new, "near-shingles")]
 
 
-def _sides(pairs: DataFrame, of_texts: DataFrame, *columns: str) -> DataFrame:
-    """The pairs with ``columns`` of both texts; only the rows of texts that occur are moved."""
-    rows = _only(of_texts.select("id", *columns), "id", _ids_of(pairs))
+def _sides(pairs: DataFrame, ids: DataFrame, of_texts: DataFrame, *columns: str) -> DataFrame:
+    """The pairs with ``columns`` of both texts; only the rows of ``ids``, the texts that occur, are moved."""
+    rows = _only(of_texts.select("id", *columns), "id", ids)
     for name in ("b", "a"):
         side = rows.select(F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
         pairs = pairs.join(side, name)
@@ -214,17 +216,17 @@ def _likely(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Of the pairs (a, b), those that the maps of their texts cannot rule out."""
     most = most_in_common(F.col("map_a"), F.col("n_a"), F.col("map_b"), F.col("n_b"))
     return (
-        _sides(pairs, texts, "n", "map")
+        _sides(pairs, _ids_of(pairs), texts, "n", "map")
         .where(most >= F.lit(similarity) * (F.col("n_a") + F.col("n_b") - most))
         .select("a", "b")
     )
 
 
-def _verified(pairs: DataFrame, made: DataFrame, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, ids: DataFrame, made: DataFrame, similarity: float) -> DataFrame:
     """Of the pairs (a, b), those whose texts are similar enough."""
     both = F.size(F.array_intersect("shingles_a", "shingles_b"))
     union = F.size("shingles_a") + F.size("shingles_b") - both
-    return _sides(pairs, made, "shingles").where(both >= F.lit(similarity) * union).select("a", "b")
+    return _sides(pairs, ids, made, "shingles").where(both >= F.lit(similarity) * union).select("a", "b")
 
 
 def _roots(edges: DataFrame) -> DataFrame:
@@ -309,8 +311,9 @@ def _links(docs: DataFrame, texts: DataFrame, once: DataFrame, similarity: float
             tested.append(pairs)
             likely = stored(_likely(pairs, texts, similarity), "near-likely")
             if not likely.isEmpty():
-                made = _with_shingles(made, likely, texts, docs)
-                found = stored(_verified(likely, _together(made), similarity), "near-edges")
+                ids = _ids_of(likely)
+                made = _with_shingles(made, ids, texts, docs)
+                found = stored(_verified(likely, ids, _together(made), similarity), "near-edges")
                 if not found.isEmpty():
                     if roots is not None:
                         found = found.unionByName(roots.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))

@@ -156,14 +156,16 @@ def test_workers_hash_few_texts_at_a_time():
         assert [v for p in parts for v in p.column(name).to_pylist()] == batch.column(name).to_pylist()
 
 
-def test_texts_without_a_pair_never_move(spark):
+@pytest.mark.parametrize("few", [0, near_texts.FEW])
+def test_texts_without_a_pair_never_move(spark, few, monkeypatch):
     """Both sides of a few pairs are found among many texts; only about their rows enter a shuffle."""
+    monkeypatch.setattr(near_texts, "FEW", few)
     texts = spark.range(20_000).select("id", F.col("id").cast("int").alias("n"))
     pairs = spark.createDataFrame([(i, i + 100) for i in range(0, 1000, 10)], "a long, b long")
     wanted = {i for a in range(0, 1000, 10) for i in (a, a + 100)}
-    few = near_texts._only(texts, "id", near_texts._ids_of(pairs))
-    got = {r.id for r in few.collect()}
+    found = near_texts._only(texts, "id", near_texts._ids_of(pairs))
+    got = {r.id for r in found.collect()}
     assert wanted <= got and len(got) < 2 * len(wanted)
-    assert "hashpartitioning(id" not in few._jdf.queryExecution().sparkPlan().toString()
-    sides = near_texts._sides(pairs, texts, "n").collect()
+    assert "hashpartitioning(id" not in found._jdf.queryExecution().sparkPlan().toString()
+    sides = near_texts._sides(pairs, near_texts._ids_of(pairs), texts, "n").collect()
     assert sorted((r.a, r.b, r.n_a, r.n_b) for r in sides) == [(i, i + 100, i, i + 100) for i in range(0, 1000, 10)]
