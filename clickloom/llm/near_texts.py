@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import SPACE_CHARS, SPACES, ship, stored
+from clickloom.llm.common import SPACE_CHARS, SPACES, ship, stored, words_of
 from clickloom.llm.exact_dedup import filter_bits, maybe_set, set_positions
 from clickloom.llm.simhash import components, free_name, one_a_component
 
@@ -61,10 +61,22 @@ SEED = 42
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
+def _lowered(text: Column) -> Column:
+    return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def text_key(text: Column) -> Column:
     """What texts are equal by: a digest of the words, A-Z lower-cased."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.md5(F.trim(F.regexp_replace(lowered, SPACES, " "), F.lit(SPACE_CHARS)))
+    return F.md5(F.trim(F.regexp_replace(_lowered(text), SPACES, " "), F.lit(SPACE_CHARS)))
+
+
+def shingle_hashes(text: Column) -> Column:
+    """The hashes of ``shingles`` at ``SHINGLE`` words as an array, made without a Python worker; Spark's seed is ``SEED``."""
+    one = lambda words: lambda i: F.xxhash64(F.array_join(F.slice(words, i, SHINGLE), " "))
+    starts = lambda words: F.sequence(F.lit(1), F.greatest(F.size(words) - (SHINGLE - 1), F.lit(1)))
+    # As the argument of a function the words are split once a text, not once a shingle.
+    hashes = F.transform(F.array(words_of(_lowered(text))), lambda w: F.when(F.size(w) > 0, F.transform(starts(w), one(w))))
+    return F.array_distinct(F.coalesce(hashes[0], F.array().cast("array<bigint>")))
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
@@ -143,6 +155,7 @@ def _prints(blocks: int, bits: int):
 
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``shingle_hashes`` gives, made by workers; the tests hold one against the other."""
     for batch in _pieces(batches):
         rows = [shingles(text.as_py(), SHINGLE).view(np.int64) for text in batch.column("text")]
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, pa.list_(pa.int64()))], ["id", "shingles"])
@@ -189,6 +202,7 @@ def _with_shingles(made: list[DataFrame], wanted: DataFrame, texts: DataFrame, d
     """Shingles of all wanted texts: those of former rounds and the new ones.
 
     The texts are found by a fast hash first; only what that leaves is held against the keys.
+    No Python worker takes part, so those of the prints end while the rounds go on.
     """
     if made:
         known = _together([part.select("id") for part in made])
@@ -199,7 +213,7 @@ def _with_shingles(made: list[DataFrame], wanted: DataFrame, texts: DataFrame, d
     named = stored(named.select("id", "key", "hash"), "near-named")
     found = _only(docs.select("text", F.xxhash64("text").alias("hash")), "hash", named)
     found = found.select(text_key(F.col("text")).alias("key"), "text").groupBy("key").agg(F.first("text").alias("text"))
-    new = found.join(named, "key").select("id", "text").mapInArrow(_shingled, "id bigint, shingles array<bigint>")
+    new = found.join(named, "key").select("id", shingle_hashes(F.col("text")).alias("shingles"))
     return [*made, stored(new, "near-shingles")]
 
 
